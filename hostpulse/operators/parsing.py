@@ -9,49 +9,46 @@ from pyspark.sql import functions as F
 LINE = r'^(\S+) \S+ \S+ \[([^\]]+)\] "(\S+) (\S+) (\S+)" (\d{3}) (\S+)'
 TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 
-PARTS = ("host", "stamp", "method", "endpoint", "protocol", "status", "size")
-
-# A newline followed by a closing bracket cannot occur inside any part of a line:
-# the bracketed stamp holds no bracket and all the other parts hold no white space.
-_CUT = "\n]"
-
-
-def _pieces(line: Column) -> Column:
-    return F.regexp_replace(
-        line,
-        F.lit(LINE + "(?s:.*)"),
-        F.lit(_CUT.join(f"${group}" for group in range(1, len(PARTS) + 1))),
-    )
+# The groups of the pattern, the stamp (group 2) last: it alone may hold line breaks.
+_ORDER = {"host": 1, "method": 3, "endpoint": 4, "protocol": 5, "status": 6, "size": 7, "stamp": 2}
 
 
 def parse_lines(lines: DataFrame, column: str = "log") -> DataFrame:
     """Typed requests, one per well-formed line; other lines are dropped.
 
-    The pattern runs once per line: it rewrites the line as its seven parts with
-    a separator that cannot occur in them, and a split takes them apart. A line
-    left unchanged did not match. The parts leave through a generator, which
-    also drops the lines without parts: an ordinary filter would be pushed below
-    the projection and run the pattern a second time.
+    The pattern runs once per line: it rewrites the line as its parts on lines of
+    their own, and a split takes them apart. All parts but the last are free of
+    white space, so the split cannot go wrong, and a rewritten line always
+    differs from the line, so one left unchanged did not match.
+
+    The typed parts leave through a generator, which also drops the lines
+    without parts. An ordinary filter, here or in a later step, would be pushed
+    below the projection, and the pattern or the time format would run twice.
 
     A bad time gives a NULL timestamp and keeps the row. A size of ``-`` is 0, a
     size that is no integer is NULL: one bad line must not end a long job.
     """
-    line = F.col(column)
-    parts = F.col("parts")
-    cut = lines.select(line.alias("line"), _pieces(line).alias("cut"))
+    rewritten = F.regexp_replace(
+        column,
+        F.lit(LINE + "(?s:.*)"),
+        F.lit("\n".join(f"${group}" for group in _ORDER.values())),
+    )
+    cut = lines.select(F.col(column).alias("line"), rewritten.alias("cut"))
     split = cut.select(
-        F.when(F.col("cut") != F.col("line"), F.split("cut", r"\n\]")).alias("parts")
+        F.when(F.col("cut") != F.col("line"), F.split("cut", "\n", len(_ORDER))).alias("parts")
     )
-    record = F.struct(*[parts[place].alias(name) for place, name in enumerate(PARTS)])
-    return split.select(F.inline(F.when(parts.isNotNull(), F.array(record)))).select(
-        "host",
-        F.try_to_timestamp("stamp", F.lit(TIME_FORMAT)).alias("timestamp"),
-        "method",
-        "endpoint",
-        "protocol",
-        F.col("status").try_cast("int").alias("status"),
-        F.when(F.col("size") == "-", 0).otherwise(F.col("size").try_cast("int")).alias("bytes"),
+    parts = F.col("parts")
+    part = {name: parts[place] for place, name in enumerate(_ORDER)}
+    request = F.struct(
+        part["host"].alias("host"),
+        F.try_to_timestamp(part["stamp"], F.lit(TIME_FORMAT)).alias("timestamp"),
+        part["method"].alias("method"),
+        part["endpoint"].alias("endpoint"),
+        part["protocol"].alias("protocol"),
+        part["status"].try_cast("int").alias("status"),
+        F.when(part["size"] == "-", 0).otherwise(part["size"].try_cast("int")).alias("bytes"),
     )
+    return split.select(F.inline(F.when(parts.isNotNull(), F.array(request))))
 
 
 def event_time(column: str = "log") -> Column:
