@@ -329,8 +329,9 @@ def ip_density(page: DataFrame, bins: int = 20) -> DataFrame:
     def cell(column: str) -> Column:
         value = F.col(column).cast("double")
         low, high = _over_page(F.min(value)), _over_page(F.max(value))
-        step = F.try_divide((value - low) * bins, high - low)
-        return F.coalesce(F.least(F.floor(step), F.lit(bins - 1)), F.lit(0)).cast("int")
+        # All values equal: one cell, the first.
+        step = F.coalesce(F.try_divide((value - low) * bins, high - low), F.lit(0.0))
+        return F.least(F.floor(step), F.lit(bins - 1)).cast("int")
 
     return (
         page.where("total_requests IS NOT NULL AND error_rate_pct IS NOT NULL")

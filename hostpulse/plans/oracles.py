@@ -476,9 +476,9 @@ _BODIES = {
     "ip_density": """
         select request_bin, error_bin, count(*) as hosts from (
             select
-                cast(coalesce(least(floor((x - x0) * 20 / nullif(x1 - x0, 0)), 19), 0) as integer)
+                cast(least(floor(coalesce((x - x0) * 20 / nullif(x1 - x0, 0), 0)), 19) as integer)
                     as request_bin,
-                cast(coalesce(least(floor((y - y0) * 20 / nullif(y1 - y0, 0)), 19), 0) as integer)
+                cast(least(floor(coalesce((y - y0) * 20 / nullif(y1 - y0, 0), 0)), 19) as integer)
                     as error_bin
             from (select x, y, min(x) over () as x0, max(x) over () as x1,
                     min(y) over () as y0, max(y) over () as y1

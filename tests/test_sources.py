@@ -1,0 +1,113 @@
+from __future__ import annotations
+
+import gzip
+
+import pytest
+
+from hostpulse.operators.live import sized_for_join
+from hostpulse.plans.batch import run_batch
+from hostpulse.plans.feed import event_lines
+from hostpulse.sources import lines as sources
+from hostpulse.sources.tables import Layers, sql_table, table_at
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_gzip_and_plain_files(spark, tmp_path):
+    with gzip.open(tmp_path / "a.gz", "wt") as file:
+        file.write("one\ntwo\n")
+    (tmp_path / "b.txt").write_text("three\n")
+    found = sources.read_lines(spark, str(tmp_path))
+    assert found.columns == ["log"]
+    assert sorted(row["log"] for row in found.collect()) == ["one", "three", "two"]
+
+
+class Reader:
+    """Stands in for the stream reader: the Kafka connector is not installed here."""
+
+    def __init__(self, frame):
+        self.frame, self.seen = frame, {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def options(self, **options):
+        self.seen.update(options)
+        return self
+
+    def load(self):
+        return self.frame
+
+
+@pytest.fixture
+def topic(spark):
+    class Session:
+        readStream = Reader(
+            spark.sql("SELECT binary('k') AS key, binary('v') AS value, 0 AS partition")
+        )
+
+    return Session()
+
+
+def test_topic_of_lines(topic):
+    found = sources.stream_topic(topic, "host:9092", "logs")
+    assert topic.readStream.seen == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "logs",
+        "startingOffsets": "latest",
+        "failOnDataLoss": "false",
+    }
+    assert found.columns == ["log"] and found.first()["log"] == "v"
+
+
+def test_topic_of_pairs_from_its_start(topic):
+    found = sources.stream_topic_pairs(topic, "host:9092", "logs")
+    assert topic.readStream.seen["startingOffsets"] == "earliest"
+    assert tuple(found.first()) == ("k", "v") and found.columns == ["key", "value"]
+
+
+def test_bounded_files_per_trigger(spark, tmp_path):
+    stream = sources.stream_lines(spark, str(tmp_path), 1)
+    assert stream.isStreaming and stream.columns == ["log"]
+
+
+def test_batch_layers(spark, tmp_path):
+    layers = run_batch(event_lines(spark, SF_DIR), Layers(spark, str(tmp_path)))
+    counts = {
+        row["layer"]: row["rows"]
+        for row in layers.row_counts("bronze", "silver", "global_stats", "live_anomalies").collect()
+    }
+    assert counts["bronze"] == 1000 and counts["silver"] == 989
+    assert counts["global_stats"] == 1 and counts["live_anomalies"] is None
+    assert table_at(spark, layers.path("silver")).count() == 989
+    assert sql_table(spark, layers.path("hourly_stats")).columns == layers.load("hourly_stats").columns
+    # Declared and stored types agree.
+    for name in ("hourly_stats", "ip_behaviour", "endpoint_stats", "ip_baselines", "anomalies"):
+        stored = table_at(spark, layers.path(name))
+        assert stored.dtypes == layers.load(name).dtypes, name
+
+
+def test_one_status_is_one_folder(spark, tmp_path):
+    layers = run_batch(event_lines(spark, SF_DIR), Layers(spark, str(tmp_path)))
+    wanted = layers.load("silver").where("status = 404")
+    plan = wanted._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(status" in plan
+    folders = wanted.select("_metadata.file_path").distinct().collect()
+    assert folders and all("/status=404/" in row["file_path"] for row in folders)
+
+
+def test_overwrite(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path))
+    for count in (3, 2):
+        layers.save(spark.range(count).selectExpr("string(id) AS log"), "bronze")
+    assert layers.load("bronze").count() == 2
+
+
+def test_only_a_small_profile_is_broadcast(spark, tmp_path):
+    profile = spark.range(100).selectExpr("concat('h', id) AS host", "id AS batch_total_requests")
+    small, large = sized_for_join(profile), sized_for_join(profile, max_bytes=1000)
+    hinted = [f._jdf.queryExecution().logical().toString() for f in (small, large)]
+    assert "broadcast" in hinted[0].lower() and "broadcast" not in hinted[1].lower()
+    assert sized_for_join(profile.limit(0)).count() == 0
