@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostpulse.sources.lines import spread
+
 _STAMP = """
 CASE WHEN event_id % 101 = 0 THEN 'bad-time'
      ELSE concat(date_format(ts, 'dd/MMM/yyyy:HH:mm:ss'), ' +0000') END
@@ -41,7 +43,7 @@ def _line(host: str) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

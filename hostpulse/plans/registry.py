@@ -343,7 +343,7 @@ def _replayed(
             partitions=_width(spark),
         )
 
-    feed_in_order(burst_lines(spark, sf_dir), f"{folder}/staged", arrivals, run, 10 * DAY)
+    feed_in_order(burst_lines(spark, sf_dir), f"{folder}/staged", arrivals, run, 15 * DAY)
     return spark.read.parquet(output)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 
@@ -34,6 +33,15 @@ def fresh_folder(spark: SparkSession) -> str:
 _built: dict[str, str] = {}
 
 
+def _key(spark: SparkSession, sf_dir: str) -> str:
+    return f"{shared_folder(spark)} {sf_dir}"
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Let the next :func:`stored_layers` build anew, as after a change of the tables."""
+    _built.pop(_key(spark, sf_dir), None)
+
+
 def stored_layers(spark: SparkSession, sf_dir: str) -> Layers:
     """All layers over the tables in ``sf_dir``, built once per application.
 
@@ -42,14 +50,14 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> Layers:
     build goes to a folder of its own and counts only when complete; if its
     folder has been cleared since, it is built again.
     """
-    key = hashlib.sha256(f"{shared_folder(spark)} {sf_dir}".encode()).hexdigest()
-    if key in _built:
-        layers = Layers(spark, _built[key])
+    root = _built.get(_key(spark, sf_dir))
+    if root:
+        layers = Layers(spark, root)
         try:
             layers.load("live_anomalies")
             return layers
         except AnalysisException:
-            del _built[key]
+            forget(spark, sf_dir)
     layers = run_batch(event_lines(spark, sf_dir), Layers(spark, fresh_folder(spark)))
     scored = against_baseline(
         host_activity(parse_lines(burst_lines(spark, sf_dir))),
@@ -57,5 +65,5 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> Layers:
         layers.load("global_stats"),
     )
     layers.save(live_findings(scored), "live_anomalies")
-    _built[key] = layers.root
+    _built[_key(spark, sf_dir)] = layers.root
     return layers

@@ -19,7 +19,8 @@ def database(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
     for file in Path(sf_dir).glob("*.parquet"):
-        con.execute(f"create view {file.stem} as select * from read_parquet('{file}')")
+        source = file / "*.parquet" if file.is_dir() else file
+        con.execute(f"create view {file.stem} as select * from read_parquet('{source}')")
     return con
 
 
