@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from hostpulse.sources.lines import spread
 
+_EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
 _STAMP = """
 CASE WHEN event_id % 101 = 0 THEN 'bad-time'
      ELSE concat(date_format(ts, 'dd/MMM/yyyy:HH:mm:ss'), ' +0000') END
@@ -43,7 +48,7 @@ def _line(host: str) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return spread(spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostpulse.operators.parsing import event_time
@@ -17,17 +17,22 @@ from hostpulse.sources.lines import trimmed
 DAY = 86_400
 
 
+def _copy() -> Column:
+    """Tells equal lines apart, so that a range boundary can fall between them."""
+    return F.monotonically_increasing_id()
+
+
 def replay_lines(lines: DataFrame, limit: int | None = 5000) -> DataFrame:
     """The first lines by event time, trimmed, without blank ones; lines without a time last."""
-    ordered = trimmed(lines).orderBy(event_time().asc_nulls_last(), "log")
+    ordered = trimmed(lines).orderBy(event_time().asc_nulls_last(), "log", _copy())
     return ordered if limit is None else ordered.limit(limit)
 
 
 def write_ordered(lines: DataFrame, path: str, files: int = 20) -> None:
     """Text files that each hold one range of event times, sorted."""
     (
-        lines.select("log", event_time().alias("at"))
-        .repartitionByRange(files, "at", "log")
+        lines.select("log", event_time().alias("at"), _copy().alias("copy"))
+        .repartitionByRange(files, "at", "log", "copy")
         .sortWithinPartitions("at", "log")
         .select("log")
         .write.mode("overwrite")
