@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -15,14 +16,18 @@ from hostpulse.plans.feed import burst_lines, event_lines
 from hostpulse.sources.tables import Layers
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="hostpulse-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's part of the folder the cluster shares for such tables."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="hostpulse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return f"{folder}/hostpulse/{spark.sparkContext.applicationId}"
 
 

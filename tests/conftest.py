@@ -5,22 +5,23 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
-from hostpulse.session import pin
+from hostpulse.session import open_session
 
 
 def open_test_session() -> SparkSession:
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .appName("hostpulse-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hostpulse-tests-"))
-        .getOrCreate()
+    spark = open_session(
+        "hostpulse-tests",
+        {
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="hostpulse-tests-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return pin(spark)
+    return spark
 
 
 @pytest.fixture(scope="session")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as spark_entry
+from hostpulse.plans.workspace import shared_folder
 from tests.compare import check, database
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -40,18 +41,36 @@ def test_layers_are_built_again_when_cleared(spark, monkeypatch):
     assert again.root != first.root and again.load("anomalies").count() > 0
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
-    from hostpulse.plans.workspace import shared_folder
+STREAMED = {"live_activity_stream", "live_anomalies_stream"}
+
+
+@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - STREAMED))
+def test_plan_has_no_cross_join_and_no_python(spark, name):
+    frame = spark_entry.queries()[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoop", "EvalPython", "InPandas", "ExistingRDD"):
+        assert operator not in plan
+
 
-    class Conf:
-        def get(self, key, default):
+@pytest.mark.parametrize("name", ["serve_anomalies", "serve_ip", "serve_endpoint", "replay_feed"])
+def test_pages_are_a_top_k(spark, name):
+    frame = spark_entry.queries()[name](spark, SF_DIR)
+    assert "TakeOrderedAndProject" in frame._jdf.queryExecution().executedPlan().toString()
+
+
+class Session:
+    """A session without ``spark.checkpoint.dir``."""
+
+    class conf:
+        @staticmethod
+        def get(key, default):
             return default
 
-    class Context:
-        master = "spark://host:7077"
+    def __init__(self, master):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
 
-    class Session:
-        conf, sparkContext = Conf(), Context()
 
+def test_shared_folder_must_be_named_on_a_cluster():
     with pytest.raises(RuntimeError):
-        shared_folder(Session())
+        shared_folder(Session("spark://host:7077"))
+    assert shared_folder(Session("local[2]")).endswith("/hostpulse/app")
