@@ -54,13 +54,15 @@ def _over_page(measure: Column) -> Column:
 # Pages of the stored tables
 
 
+def _worst_first(findings: DataFrame) -> DataFrame:
+    """Worst severity first, then latest window. The rank is a column while sorting:
+    a sort evaluates its expressions anew for each comparison."""
+    ranked = findings.withColumn("rank", severity_rank())
+    return ranked.orderBy("rank", F.desc("window_start"), "host")
+
+
 def latest_anomalies(findings: DataFrame, limit: int = 1000) -> DataFrame:
-    """Worst severity first, then latest window."""
-    return (
-        findings.select(*LIVE_COLUMNS)
-        .orderBy(severity_rank(), F.desc("window_start"), "host")
-        .limit(limit)
-    )
+    return _worst_first(findings).limit(limit).select(*LIVE_COLUMNS)
 
 
 def latest_hours(hours: DataFrame, limit: int = 168) -> DataFrame:
@@ -228,7 +230,7 @@ def type_severity_pivot(page: DataFrame) -> DataFrame:
 
 
 def anomaly_feed(page: DataFrame) -> DataFrame:
-    return page.select(*FEED_COLUMNS).orderBy(severity_rank(), F.desc("window_start"), "host")
+    return _worst_first(page.select(*FEED_COLUMNS)).drop("rank")
 
 
 # Traffic view

@@ -24,8 +24,10 @@ def _copy() -> Column:
 
 def replay_lines(lines: DataFrame, limit: int | None = 5000) -> DataFrame:
     """The first lines by event time, trimmed, without blank ones; lines without a time last."""
-    ordered = trimmed(lines).orderBy(event_time().asc_nulls_last(), "log", _copy())
-    return ordered if limit is None else ordered.limit(limit)
+    # As columns: a sort evaluates its expressions anew for each comparison.
+    keyed = trimmed(lines).select("log", event_time().alias("at"), _copy().alias("copy"))
+    ordered = keyed.orderBy(F.asc_nulls_last("at"), "log", "copy")
+    return (ordered if limit is None else ordered.limit(limit)).select("log")
 
 
 def write_ordered(lines: DataFrame, path: str, files: int = 20) -> None:
