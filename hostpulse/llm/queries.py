@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostpulse.llm.lines import dedup_lines
+from hostpulse.llm.pieces import encode_pieces
 from hostpulse.llm.secrets import BASE, scan_secrets
+from hostpulse.llm.simhash import simhash_groups
+from hostpulse.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +25,15 @@ def _spans(findings: str) -> F.Column:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash_groups(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base kinds, spans of all kinds."""
     found = scan_secrets(_table(spark, sf_dir, "documents")).withColumn(
@@ -46,6 +58,20 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and what they decode to, as digests."""
+    return encode_pieces(
+        _table(spark, sf_dir, "documents"),
+        "piece_bpe_32k.model",
+        ("n_tokens", "ids_sha256", "decoded_sha256"),
+    )
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives written for it."""
+    return archive_pages(_table(spark, sf_dir, "pages"), payloads=False).drop("payload")
+
+
 _OP8_SQL = r"""
 WITH lines AS (
   SELECT doc_id, text, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
@@ -66,11 +92,28 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+_OP10_SQL = """
+WITH facts AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS size
+  FROM pages
+), judged AS (
+  SELECT *, min(page_id) OVER (PARTITION BY html) AS low FROM facts
+)
+SELECT page_id, cast(size AS bigint) AS payload_bytes, sha256(html) AS payload_digest,
+  CASE WHEN size >= 100 AND page_id > low THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN size >= 100 AND page_id > low THEN low END AS refers_to
+FROM judged
+"""
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op7_secrets": op7_secrets,
     "op8_line_dedup": op8_line_dedup,
+    "op9_pieces": op9_pieces,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
     "op8_line_dedup": _OP8_SQL,
+    "op10_warc": _OP10_SQL,
 }
