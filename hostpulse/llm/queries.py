@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostpulse.llm.decontaminate import find_leaks
 from hostpulse.llm.lines import dedup_lines
 from hostpulse.llm.pieces import encode_pieces
+from hostpulse.llm.quality import score_quality
 from hostpulse.llm.secrets import BASE, scan_secrets
 from hostpulse.llm.simhash import simhash_groups
+from hostpulse.llm.toxicity import fit_toxicity, score_toxicity
 from hostpulse.llm.warc import archive_pages
 
 
@@ -25,6 +28,12 @@ def _spans(findings: str) -> F.Column:
     )
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of every document."""
+    scored = score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash_groups(_table(spark, sf_dir, "documents")).select(
@@ -34,6 +43,17 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item of which it holds a passage."""
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity and grade of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts and digest of the base kinds, spans of all kinds."""
     found = scan_secrets(_table(spark, sf_dir, "documents")).withColumn(
@@ -106,7 +126,10 @@ FROM judged
 """
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
     "op8_line_dedup": op8_line_dedup,
     "op9_pieces": op9_pieces,
