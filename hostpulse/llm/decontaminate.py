@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from hostpulse.llm.store import map_rows, written
 
 _WORD = re.compile(r"[^\W_]+")
+_ROUND = 6  # repetitions walked at once; an item found in one round needs no other
 _END = -1  # what the walk reads behind a window
 
 
@@ -51,41 +52,42 @@ class Walks:
         self.factor = random.integers(0, 1 << 63, (steps, repeats), dtype=np.uint64) | np.uint64(1)
         self.offset = random.integers(0, 1 << 63, (steps, repeats), dtype=np.uint64)
         taken = np.array([random.choice(steps, samples, replace=False) for _ in range(repeats)])
-        self.taken = [np.nonzero((taken == step).any(axis=1))[0] for step in range(steps)]
+        self.taken = np.zeros((steps, repeats), dtype=bool)
+        self.taken[taken.T, np.arange(repeats)] = True
         self.salt = random.integers(0, 1 << 63, repeats, dtype=np.uint64)
-        self.last = int(taken.max())
-
-    def keys(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """One key per repetition and start, for windows of ``words`` (ids of words)."""
-        padded = np.concatenate([words, np.full(self.size, _END, dtype=np.int64)])
-        windows = padded[starts[:, None] + np.arange(self.size)]
-        if len(starts) > 1:  # equal windows, as of a word said again and again, walk once
-            windows, which = np.unique(windows, axis=0, return_inverse=True)
-            return self._walked(windows)[:, which.reshape(-1)]
-        return self._walked(windows)
-
-    def _walked(self, windows: np.ndarray) -> np.ndarray:
-        count = len(windows)
+
+    def keys(self, windows: np.ndarray, low: int, high: int) -> np.ndarray:
+        """One key for each repetition from ``low`` to ``high`` and each row of word ids."""
+        count, reps = len(windows), np.arange(high - low)[:, None]
         # An end mark behind each window, so that no walk reads past it.
         windows = np.hstack([windows, np.full((count, 1), _END, dtype=np.int64)])
-        rows = np.arange(count)[None, :]
-        pointer = np.zeros((self.repeats, count), dtype=np.int64)
-        keys = np.repeat(self.salt[:, None], count, axis=1)
-        for step in range(self.last + 1):
-            symbol = windows[rows, pointer].astype(np.uint64)
-            taken = self.taken[step]
+        symbols, places = np.unique(windows, return_inverse=True)
+        places, rows = places.reshape(windows.shape), np.arange(count)[None, :]
+        values = symbols.astype(np.uint64) + np.uint64(2)
+        # The random bit of each step, repetition and word.
+        mixed = values * self.factor[:, low:high, None]
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        moves = ((mixed + self.offset[:, low:high, None]) >> np.uint64(63)).astype(np.int64)
+        pointer = np.zeros((high - low, count), dtype=np.int64)
+        keys = np.repeat(self.salt[low:high, None], count, axis=1)
+        for step in range(len(moves)):
+            read = places[rows, pointer]
+            taken = np.nonzero(self.taken[step, low:high])[0]
             if len(taken):
-                keys[taken] = (keys[taken] ^ (symbol[taken] + np.uint64(step + 2))) * np.uint64(
-                    0x9E3779B97F4A7C15
-                )
+                seen = values[read[taken]] + np.uint64(step)
+                keys[taken] = (keys[taken] ^ seen) * np.uint64(0x9E3779B97F4A7C15)
                 keys[taken] ^= keys[taken] >> np.uint64(29)
-            mixed = (symbol + np.uint64(2)) * self.factor[step][:, None]
-            mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-            bit = (mixed + self.offset[step][:, None]) >> np.uint64(63)
-            pointer = np.minimum(pointer + bit.astype(np.int64), self.size)
+            pointer += moves[step][reps, read]
+            np.minimum(pointer, self.size, out=pointer)
         return keys
 
 
+def windows_at(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The ``size`` words from each start, filled up with end marks behind the last word."""
+    padded = np.concatenate([words, np.full(size, _END, dtype=np.int64)])
+    return padded[starts[:, None] + np.arange(size)]
+
+
 def fewest_edits(item: list[int], region: list[int]) -> tuple[int, int]:
     """Edits from ``item`` to the nearest run of ``region``, and where that run ends.
 
@@ -147,11 +149,15 @@ class BenchmarkIndex:
             walks = Walks(size, samples, repeats)
             table: dict[int, list[int]] = defaultdict(list)
             for number in numbers:
-                words = np.array(self.items[number][1], dtype=np.int64)
-                for key in walks.keys(words, np.array([0]))[:, 0].tolist():
+                words = np.array([self.items[number][1]], dtype=np.int64)
+                for key in walks.keys(words, 0, repeats)[:, 0].tolist():
                     table[key].append(number)
             keys = np.array(sorted(table), dtype=np.uint64)
-            self.sizes[size] = (member, need, walks, table, keys)
+            lists = {
+                number: np.searchsorted(self.pairs, sorted(set(self._pairs(self.items[number][1]))))
+                for number in numbers
+            }
+            self.sizes[size] = (member, need, walks, table, keys, lists)
         self.least = min((need for _, need, *_ in self.sizes.values()), default=0)
         self.longest = max(self.sizes, default=0)
 
@@ -188,24 +194,45 @@ class BenchmarkIndex:
         ):
             return
         best: dict[int, tuple[int, int]] = {}
-        for size, (member, need, walks, table, keys) in self.sizes.items():
-            own = hits[member[found]]
-            if len(own) < need:
+        for size, (member, need, walks, table, keys, lists) in self.sizes.items():
+            own = member[found]
+            if own.sum() < need:
                 continue
-            starts = self._starts(own, need, size, len(words))
+            starts = self._starts(hits[own], need, size, len(words))
             if not len(starts):
                 continue
-            probes = walks.keys(words, starts)
-            where = np.minimum(np.searchsorted(keys, probes), len(keys) - 1)
-            _, columns = same = np.nonzero(keys[where] == probes)
-            met: dict[int, set[int]] = defaultdict(set)
-            for key, column in zip(probes[same].tolist(), columns.tolist()):
-                for number in table[key]:
-                    met[number].add(int(starts[column]))
-            for number, at in met.items():
-                result = self._verified(number, sorted(at), words)
-                if result is not None:
-                    best[number] = min(result, best.get(number, result))
+            # Items of which enough pairs occur here, each as often as the item has it at most.
+            seen = np.unique(found[own])
+            open_items = {
+                number
+                for number, codes in lists.items()
+                if np.isin(codes, seen).sum() + size - 1 - len(codes) >= need
+            }
+            if not open_items:
+                continue
+            # Equal windows, as of a word said again and again, walk once.
+            windows, which = np.unique(
+                windows_at(words, starts, size), axis=0, return_inverse=True
+            )
+            which = which.reshape(-1)
+            tried: set[tuple[int, int]] = set()
+            for low in range(0, walks.repeats, _ROUND):
+                if not open_items:  # every item that may be here has been found
+                    break
+                probes = walks.keys(windows, low, min(low + _ROUND, walks.repeats))
+                where = np.minimum(np.searchsorted(keys, probes), len(keys) - 1)
+                _, columns = same = np.nonzero(keys[where] == probes)
+                met: dict[int, set[int]] = defaultdict(set)
+                for key, column in zip(probes[same].tolist(), columns.tolist()):
+                    for number in table[key]:
+                        if (number, column) not in tried:
+                            tried.add((number, column))
+                            met[number].update(starts[which == column].tolist())
+                for number, at in met.items():
+                    result = self._verified(number, sorted(at), words)
+                    if result is not None:
+                        open_items.discard(number)
+                        best[number] = min(result, best.get(number, result))
         for number, (edits, end) in sorted(best.items()):
             item_id, item = self.items[number]
             yield item_id, len(item), edits, end
