@@ -6,10 +6,11 @@ import math
 import re
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -269,8 +270,7 @@ _LEAKS = pa.schema(
 )
 
 
-def find_leaks(
-    docs: DataFrame,
+def _indexes(
     benchmark: DataFrame,
     similarity: float = 0.8,
     min_words: int = 5,
@@ -279,9 +279,39 @@ def find_leaks(
     agreement: float = 0.5,
     block_items: int = 5_000,
     block_bytes: int = 32 << 20,
-) -> DataFrame:
+) -> list[Callable[[], BenchmarkIndex]]:
+    """For each block of the benchmark a function that tasks call for its index."""
+    spark = benchmark.sparkSession
+    items = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
+    size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    blocks = max(1, math.ceil(size[0] / block_items), math.ceil(size[1] / block_bytes))
+    repeats = repetitions(agreement, samples, recall)
+    if blocks > 1:
+        items = written(items)
+    found = []
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        sent = spark.sparkContext.broadcast(sorted(map(tuple, part.collect()), key=repr))
+        name = uuid.uuid4().hex
+
+        def index(sent=sent, name=name) -> BenchmarkIndex:
+            known = _INDEXES.get(name)
+            if known is None:
+                _INDEXES.clear()
+                known = BenchmarkIndex(sent.value, similarity, min_words, samples, repeats)
+                _INDEXES[name] = known
+            return known
+
+        found.append(index)
+    return found
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """One row per document and benchmark item of which the document holds a passage.
 
+    ``settings``, with their defaults: ``similarity`` 0.8, ``min_words`` 5, ``recall``
+    0.98, ``samples`` 3, ``agreement`` 0.5, ``block_items`` 5000, ``block_bytes`` 32 MB.
+
     A passage is a run of words at most ``1 - similarity`` of the item's number
     of words in word edits away from it. Returns doc_id, item_id, n_words (of the
     item), edits, end_word (the word behind the passage) and similarity.
@@ -304,27 +334,13 @@ def find_leaks(
     ``block_items`` items and ``block_bytes`` bytes, one pass over ``docs`` each;
     documents are not shuffled.
     """
-    spark = docs.sparkSession
-    items = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
-    size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    blocks = max(1, math.ceil(size[0] / block_items), math.ceil(size[1] / block_bytes))
-    repeats = repetitions(agreement, samples, recall)
-    if blocks > 1:
-        items = written(items)
     found = []
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast(sorted(map(tuple, part.collect()), key=repr))
-        name = uuid.uuid4().hex
+    for index in _indexes(benchmark, **settings):
 
-        def rows(texts: Iterable[tuple], sent=sent, name=name) -> Iterator[tuple]:
-            index = _INDEXES.get(name)
-            if index is None:
-                _INDEXES.clear()
-                index = BenchmarkIndex(sent.value, similarity, min_words, samples, repeats)
-                _INDEXES[name] = index
+        def rows(texts: Iterable[tuple], index=index) -> Iterator[tuple]:
+            search = index().search
             for doc_id, text in texts:
-                for item_id, n_words, edits, end in index.search(text):
+                for item_id, n_words, edits, end in search(text):
                     yield doc_id, item_id, n_words, edits, end, 1 - edits / n_words
 
         found.append(map_rows(docs.select("doc_id", "text"), _LEAKS, rows))
@@ -344,3 +360,23 @@ def find_leaks(
             "nearest.similarity",
         )
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` in which :func:`find_leaks` finds nothing, with all columns.
+
+    Rows are judged where they are, so no text is shuffled.
+    """
+    for index in _indexes(benchmark, **settings):
+
+        docs = docs.where(_clean(index)(F.col("text")))
+    return docs
+
+
+def _clean(index: Callable[[], BenchmarkIndex]):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        search = index().search
+        return pd.Series([next(search(text), None) is None for text in texts], dtype=bool)
+
+    return clean

@@ -12,6 +12,8 @@ from hostpulse.llm.quality import score_quality
 from hostpulse.llm.secrets import BASE, scan_secrets
 from hostpulse.llm.simhash import simhash_groups
 from hostpulse.llm.toxicity import fit_toxicity, score_toxicity
+from hostpulse.llm.urls import ALPHABET, ORDER, Rule, judge_urls
+from hostpulse.llm.vectors import near_vectors
 from hostpulse.llm.warc import archive_pages
 
 
@@ -43,6 +45,25 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    Rule("com", "/", "allow"),
+    Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"),
+    Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+]
+
+
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url, by rule or by the character models."""
+    return judge_urls(_table(spark, sf_dir, "pages"), URL_RULES).drop("score")
+
+
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item of which it holds a passage."""
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -92,6 +113,96 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"), payloads=False).drop("payload")
 
 
+def _op3_sql() -> str:
+    rules = ", ".join(f"('{rule.host}', '{rule.path}', '{rule.verdict}')" for rule in URL_RULES)
+    levels = []
+    for order in range(ORDER + 1):
+        counted = f"""
+          SELECT tail, substr(tail, 1, {order}) AS context, substr(tail, 2, {order}) AS shorter,
+            sum(allow) AS allow, sum(block) AS block
+          FROM (SELECT right(gram, {order + 1}) AS tail, allow, block FROM counts) GROUP BY tail
+        """
+        low = f"JOIN level{order - 1} AS low ON low.tail = c.shorter" if order else ""
+        parts = []
+        for kind in ("allow", "block"):
+            below = f"low.{kind}_p" if order else f"(1.0 / {len(ALPHABET)})::double"
+            parts.append(f"""
+              CASE WHEN sum({kind}) OVER w > 0 THEN
+                ({kind} + count(*) FILTER ({kind} > 0) OVER w * {below})
+                  / (sum({kind}) OVER w + count(*) FILTER ({kind} > 0) OVER w)
+              ELSE {below} END AS {kind}_p""")
+        levels.append(f"""level{order} AS (
+          SELECT c.tail, {", ".join(parts)} FROM ({counted}) c {low} WINDOW w AS (PARTITION BY c.context)
+        )""")
+    return rf"""
+    WITH rests AS (
+      SELECT page_id, coalesce(url, '') AS url,
+        CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+      FROM pages
+    ), addresses AS (
+      SELECT page_id, url,
+        coalesce(translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+      FROM rests
+    ), rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}
+    ), ruled AS (
+      SELECT page_id, url, host, path,
+        arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        arg_max(rule_verdict, length(rule_host || rule_path)) AS verdict,
+        CAST('0x' || substr(md5(url), 1, 6) AS BIGINT) % 5 AS part
+      FROM addresses LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
+        AND starts_with(path, rule_path)
+      GROUP BY page_id, url, host, path
+    ), padded AS (
+      SELECT *, repeat('^', {ORDER}) || regexp_replace(regexp_replace(lower(host || path),
+        '[0-9]', '0', 'g'), '[^a-z0.\-_/~%]', '*', 'g') || '$' AS text FROM ruled
+    ), grams AS (
+      SELECT page_id, verdict, part, substr(text, place, {ORDER + 1}) AS gram
+      FROM (SELECT *, unnest(range(1, length(text) - {ORDER} + 1)) AS place FROM padded)
+    ), counts AS (
+      SELECT gram, count(*) FILTER (part > 0 AND verdict = 'allow') AS allow,
+        count(*) FILTER (part > 0 AND verdict = 'block') AS block
+      FROM grams GROUP BY gram
+    ), {", ".join(levels)}, scores AS (
+      SELECT page_id, avg(ln(allow_p / block_p)) AS score
+      FROM grams JOIN level{ORDER} ON tail = gram GROUP BY page_id
+    ), bins AS (
+      SELECT CAST(greatest(least(floor(score * 100), 2000), -2000) AS BIGINT) AS bin,
+        count(*) FILTER (verdict = 'allow') AS allow, count(*) FILTER (verdict = 'block') AS block
+      FROM scores JOIN ruled USING (page_id) WHERE part = 0 AND verdict IS NOT NULL GROUP BY bin
+    ), gains AS (
+      SELECT bin, coalesce(sum(block) OVER below, 0) / sum(block) OVER ()
+        - coalesce(sum(allow) OVER below, 0) / sum(allow) OVER () AS gain
+      FROM bins WHERE (SELECT sum(allow) > 0 AND sum(block) > 0 FROM bins)
+      WINDOW below AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), cut AS (
+      SELECT coalesce((SELECT bin / 100.0 FROM gains ORDER BY gain DESC, bin LIMIT 1), 0) AS cut
+    )
+    SELECT page_id, host, path, rule,
+      coalesce(verdict, CASE WHEN score >= cut THEN 'allow' ELSE 'block' END) AS verdict
+    FROM ruled JOIN scores USING (page_id), cut
+    """
+
+
+_OP4_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS vector FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT one.vec_id AS one, two.vec_id AS two FROM usable one JOIN usable two
+  ON one.vec_id <> two.vec_id AND list_cosine_similarity(one.vector, two.vector) >= 0.9
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT reached.vec_id, links.two FROM reached JOIN links ON links.one = reached.other
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE one = e.vec_id) AS n_links,
+  min(other) AS component_id, e.vec_id = min(other) AS kept
+FROM embeddings e JOIN reached USING (vec_id) GROUP BY e.vec_id
+"""
+
 _OP8_SQL = r"""
 WITH lines AS (
   SELECT doc_id, text, generate_subscripts(parts, 1) AS place, unnest(parts) AS line
@@ -128,6 +239,8 @@ FROM judged
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
+    "op3_urls": op3_urls,
+    "op4_vectors": op4_vectors,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_secrets": op7_secrets,
@@ -137,6 +250,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_urls": _op3_sql(),
+    "op4_vectors": _OP4_SQL,
     "op8_line_dedup": _OP8_SQL,
     "op10_warc": _OP10_SQL,
 }

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -205,6 +207,15 @@ def _restricted(sample: DataFrame, terms: tuple[str, ...]) -> DataFrame:
     return map_rows(sample, _FEATURES, rows)
 
 
+def _weighted(text: str | None, weights: dict[str, float]) -> float:
+    score = 0.0
+    for term, count in text_features(text).items():
+        weight = weights.get(term)
+        if weight is not None:
+            score += weight * (1 + math.log(count))
+    return score
+
+
 _SCORED = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -233,15 +244,28 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel | None, cut: float = 0.5
             return
         weights = dict(zip(model.terms, model.weights.tolist()))
         for doc_id, text in texts:
-            score = 0.0
-            for term, count in text_features(text).items():
-                weight = weights.get(term)
-                if weight is not None:
-                    score += weight * (1 + np.log(count))
-            above = model.above(np.array([score]))[0]
+            above = model.above(np.array([_weighted(text, weights)]))[0]
             toxic = bool(above[0] >= cut)
             likely = above - np.append(above[1:], 0.0)
             grade = 1 + int(likely.argmax()) if toxic else 0
             yield doc_id, float(above.sum()), float(above[0]), grade, toxic
 
     return map_rows(docs.select("doc_id", "text"), _SCORED, rows)
+
+
+def without_toxic(docs: DataFrame, model: OrdinalModel | None, cut: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that :func:`score_toxicity` does not call toxic, with all columns.
+
+    Rows are judged where they are, so no text is shuffled; a column of any name
+    may stand beside ``text``.
+    """
+    if model is None:
+        return docs
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        weights = dict(zip(model.terms, model.weights.tolist()))
+        scores = np.array([_weighted(text, weights) for text in texts])
+        return pd.Series(model.above(scores)[:, 0] < cut)
+
+    return docs.where(clean(F.col("text")))

@@ -20,6 +20,7 @@ from hostpulse.llm.store import map_rows, scratch, written
 
 _GZIP = 31  # zlib's window bits for one gzip member
 _CHUNK = 1 << 20
+_RUN = 2048  # records of an archive that are read in a row
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 _SAME = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "1970-01-01T00:00:00Z"  # pages have no date
@@ -179,7 +180,8 @@ def normalize_archives(archives: DataFrame, source: str, target: str) -> DataFra
                     index.write(f"{start} {length}\n".encode())
                     yield name, record, start, length
 
-    spread = archives.select("archive").repartition("archive")
+    # By number, as adaptive execution would merge so few and small rows into one task.
+    spread = archives.select("archive").repartition(max(1, archives.count()), "archive")
     return written(map_rows(spread, _INDEX, rows))
 
 
@@ -236,7 +238,9 @@ def read_archives(index: DataFrame, folder: str, payloads: bool = True) -> DataF
             file.close()
 
     # Records of an archive stay in runs, and a large archive is read by several tasks.
-    spread = index.repartition("archive", F.floor(F.col("record") / 4096)).sortWithinPartitions(
+    part = F.floor(F.col("record") / _RUN)
+    runs = index.where(F.col("record") % _RUN == 0).count()
+    spread = index.repartition(max(1, runs), "archive", part).sortWithinPartitions(
         "archive", "start"
     )
     return map_rows(spread.select("archive", "start", "length"), _READ, rows, batch=64)
