@@ -150,7 +150,7 @@ def fit_toxicity(
         .agg(F.min(F.struct("doc_id", "toxic", "text")).alias("row"))
         .select("row.*")
     )
-    sample = written(map_rows(texts, _FEATURES, _featured))
+    sample = written(map_rows(texts, _FEATURES, _featured, batch=100))
     sizes = dict(sample.groupBy("toxic").count().collect())
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
