@@ -192,10 +192,12 @@ def counted_by(findings: DataFrame, *columns: str) -> DataFrame:
     return findings.groupBy(*columns).count()
 
 
-def critical_batch(findings: DataFrame, limit: int = 20) -> DataFrame:
+def critical_batch(findings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Critical findings, highest score first; with a ``limit`` only the first ones."""
+    ordered = findings.where("severity = 'CRITICAL'").orderBy(
+        F.desc("z_score"), "anomaly_source", "host", "endpoint", "detected_at"
+    )
     return (
-        findings.where("severity = 'CRITICAL'")
-        .orderBy(F.desc("z_score"), "anomaly_source", "host", "endpoint", "detected_at")
-        .limit(limit)
+        (ordered if limit is None else ordered.limit(limit))
         .select("anomaly_source", "anomaly_type", "host", "endpoint", "z_score", "metric_value")
     )

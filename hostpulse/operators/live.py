@@ -84,11 +84,13 @@ def live_findings(scored: DataFrame, rules: LiveRules = JOB_RULES) -> DataFrame:
     )
 
 
-def critical_live(findings: DataFrame, limit: int = 10) -> DataFrame:
+def critical_live(findings: DataFrame, limit: int | None = None) -> DataFrame:
+    """Critical windows, largest multiplier first; with a ``limit`` only the first ones."""
+    ordered = findings.where("severity = 'CRITICAL'").orderBy(
+        F.desc("rate_multiplier"), "window_start", "host"
+    )
     return (
-        findings.where("severity = 'CRITICAL'")
-        .orderBy(F.desc("rate_multiplier"), "window_start", "host")
-        .limit(limit)
+        (ordered if limit is None else ordered.limit(limit))
         .select(
             "host",
             "window_start",

@@ -1,8 +1,11 @@
 """The ranked, filtered and summarised reads of an operations view.
 
 ``latest_*`` and ``top_*`` fetch a page of a stored table, by a top-k that keeps
-only the page. The measures below them work on such a page, as their names say,
-so their windows and one-row summaries never see more rows than the page has.
+only the page. The measures below them take the whole table: what they compare a
+row with (a total, a quartile, a smallest and largest value) is a one-row table
+of its own and enters as a scalar subquery, so no window spans the table. A
+``limit`` is always the last step. The reads over hours take the hours they are
+given, which is where a caller chooses the range.
 """
 
 from __future__ import annotations
@@ -45,12 +48,6 @@ FEED_COLUMNS = (
 DASH = "—"
 
 
-
-def _over_page(measure: Column) -> Column:
-    """A measure of the whole page beside each of its rows."""
-    return measure.over(Window.partitionBy())
-
-
 # Pages of the stored tables
 
 
@@ -125,18 +122,23 @@ def overview_trend(hours: DataFrame, limit: int = 48) -> DataFrame:
     )
 
 
-def source_status(findings_page: DataFrame, hours_page: DataFrame) -> DataFrame:
-    """One row per source: whether it has something to show, and its label.
+def source_status(
+    findings: DataFrame, hours: DataFrame, hosts: DataFrame, endpoints: DataFrame
+) -> DataFrame:
+    """One row per source: whether it has something to show, and its label, a constant.
 
-    The label is constant and the two profile tables always count as filled.
+    Findings have something to show if one of them is critical.
     """
-    filled = hours_page.agg((F.count("*") > 0).alias("filled")).scalar()
-    urgent = findings_page.agg(F.bool_or(F.col("severity") == "CRITICAL").alias("urgent"))
+
+    def filled(table: DataFrame) -> Column:
+        return table.limit(1).agg((F.count("*") > 0).alias("filled")).scalar()
+
+    urgent = findings.agg(F.bool_or(F.col("severity") == "CRITICAL").alias("urgent"))
     answers = {
         "anomalies_stream": F.coalesce("urgent", F.lit(False)),
-        "hourly_stats": filled,
-        "ip_behaviour": F.lit(True),
-        "endpoint_stats": F.lit(True),
+        "hourly_stats": filled(hours),
+        "ip_behaviour": filled(hosts),
+        "endpoint_stats": filled(endpoints),
     }
     return urgent.select(
         F.inline(
@@ -157,9 +159,9 @@ def source_status(findings_page: DataFrame, hours_page: DataFrame) -> DataFrame:
 # Anomaly view
 
 
-def anomaly_facets(page: DataFrame) -> DataFrame:
+def anomaly_facets(findings: DataFrame) -> DataFrame:
     """Filter choices: types by name, then the severities present, worst first."""
-    choices = page.select(
+    choices = findings.select(
         F.inline(
             F.array(
                 *[
@@ -181,7 +183,7 @@ def anomaly_facets(page: DataFrame) -> DataFrame:
 
 
 def search_anomalies(
-    page: DataFrame,
+    findings: DataFrame,
     severities: Sequence[str] = (),
     types: Sequence[str] = (),
     host: str | None = None,
@@ -201,31 +203,31 @@ def search_anomalies(
         tests.append(F.contains(F.lower("host"), F.lower(F.lit(host))))
     elif host:
         tests.append(F.col("host").rlike(f"(?i){host}"))
-    return reduce(DataFrame.where, tests, page)
+    return reduce(DataFrame.where, tests, findings)
 
 
-def severity_tiles(page: DataFrame) -> DataFrame:
+def severity_tiles(findings: DataFrame) -> DataFrame:
     """Rows shown, and rows of each severity."""
-    return page.agg(
+    return findings.agg(
         F.count("*").alias("showing"),
         *[tally(f"severity = '{name}'").alias(name.lower()) for name in SEVERITIES],
     )
 
 
-def top_anomalous_hosts(page: DataFrame, limit: int = 15) -> DataFrame:
-    return page.groupBy("host").count().orderBy(F.desc("count"), "host").limit(limit)
+def top_anomalous_hosts(findings: DataFrame, limit: int = 15) -> DataFrame:
+    return findings.groupBy("host").count().orderBy(F.desc("count"), "host").limit(limit)
 
 
-def severity_distribution(page: DataFrame) -> DataFrame:
-    counts = page.groupBy("severity").count()
-    whole = _over_page(F.sum("count"))
+def severity_distribution(findings: DataFrame) -> DataFrame:
+    counts = findings.groupBy("severity").count()
+    whole = findings.agg(F.count("*").alias("whole")).scalar()
     return counts.withColumn("share_pct", F.round(F.col("count") / whole * 100, 1))
 
 
-def type_severity_pivot(page: DataFrame) -> DataFrame:
+def type_severity_pivot(findings: DataFrame) -> DataFrame:
     """Rows per type and severity, 0 where there are none."""
     return (
-        page.groupBy("anomaly_type").pivot("severity", list(SEVERITIES)).count().na.fill(0)
+        findings.groupBy("anomaly_type").pivot("severity", list(SEVERITIES)).count().na.fill(0)
     )
 
 
@@ -279,8 +281,8 @@ def traffic_trend(page: DataFrame) -> DataFrame:
 # Host view
 
 
-def ip_fleet_summary(page: DataFrame) -> DataFrame:
-    totals = page.agg(
+def ip_fleet_summary(hosts: DataFrame) -> DataFrame:
+    totals = hosts.agg(
         F.count("*").alias("hosts"),
         F.avg("total_requests").alias("avg_requests"),
         F.avg("error_rate_pct").alias("avg_error_pct"),
@@ -294,12 +296,17 @@ def _error_band(column: str) -> Column:
     return band(F.col(column), (10, "RED"), (5, "AMBER"), otherwise="GREEN")
 
 
-def ip_risk_quadrant(page: DataFrame, limit: int = 200) -> DataFrame:
-    """Risk class of the busiest hosts; busy means above their upper quartile."""
-    shown = top_hosts(page, limit)
+def ip_risk_quadrant(hosts: DataFrame) -> DataFrame:
+    """Risk class of every host; busy means above the upper quartile of all.
+
+    The quartile is taken over request counts and how many hosts have them, and
+    there are far fewer different counts than hosts.
+    """
+    counts = hosts.groupBy("total_requests").agg(F.count("*").alias("hosts"))
+    quartile = counts.agg(F.percentile("total_requests", 0.75, F.col("hosts")).alias("q75")).scalar()
     busy = F.col("total_requests") > F.col("q75")
     errors = F.col("error_rate_pct")
-    return shown.withColumn("q75", _over_page(F.percentile("total_requests", 0.75))).select(
+    return hosts.withColumn("q75", quartile).select(
         "host",
         "total_requests",
         "error_rate_pct",
@@ -312,32 +319,32 @@ def ip_risk_quadrant(page: DataFrame, limit: int = 200) -> DataFrame:
     )
 
 
-def ip_top_volume(page: DataFrame, limit: int = 20) -> DataFrame:
-    return top_hosts(page, limit).select("host", "total_requests")
+def ip_top_volume(hosts: DataFrame, limit: int = 20) -> DataFrame:
+    return top_hosts(hosts, limit).select("host", "total_requests")
 
 
-def ip_top_error(page: DataFrame, limit: int = 20) -> DataFrame:
+def ip_top_error(hosts: DataFrame, limit: int = 20) -> DataFrame:
     """The busiest hosts again, by error rate."""
     return (
-        top_hosts(page, limit)
+        top_hosts(hosts, limit)
         .select("host", "error_rate_pct", _error_band("error_rate_pct").alias("error_band"))
         .orderBy(F.desc("error_rate_pct"), "host")
     )
 
 
-def ip_density(page: DataFrame, bins: int = 20) -> DataFrame:
+def ip_density(hosts: DataFrame, bins: int = 20) -> DataFrame:
     """Hosts per cell of a grid over requests and error rate, equal width per axis."""
+    shown = hosts.where("total_requests IS NOT NULL AND error_rate_pct IS NOT NULL")
 
     def cell(column: str) -> Column:
         value = F.col(column).cast("double")
-        low, high = _over_page(F.min(value)), _over_page(F.max(value))
+        low, high = (shown.agg(bound(value).alias("bound")).scalar() for bound in (F.min, F.max))
         # All values equal: one cell, the first.
         step = F.coalesce(F.try_divide((value - low) * bins, high - low), F.lit(0.0))
         return F.least(F.floor(step), F.lit(bins - 1)).cast("int")
 
     return (
-        page.where("total_requests IS NOT NULL AND error_rate_pct IS NOT NULL")
-        .select(
+        shown.select(
             cell("total_requests").alias("request_bin"), cell("error_rate_pct").alias("error_bin")
         )
         .groupBy("request_bin", "error_bin")
@@ -350,11 +357,12 @@ def _one_decimal(value: Column, unit: str) -> Column:
     return F.coalesce(F.concat(text, F.lit(unit)), F.lit(DASH))
 
 
-def ip_lifecycle(page: DataFrame, limit: int = 20) -> DataFrame:
-    return top_hosts(page, limit).select(
+def ip_lifecycle(hosts: DataFrame, limit: int = 20) -> DataFrame:
+    return top_hosts(hosts, limit).select(
         "host",
         "total_requests",
         _one_decimal(F.col("error_rate_pct"), "%").alias("error_rate_pct"),
+        _error_band("error_rate_pct").alias("error_band"),
         "first_seen",
         "last_seen",
         "unique_endpoints_hit",
@@ -364,9 +372,9 @@ def ip_lifecycle(page: DataFrame, limit: int = 20) -> DataFrame:
 # Endpoint view
 
 
-def endpoint_snapshot(page: DataFrame) -> DataFrame:
-    """Totals over the page; the hotspot is the endpoint with the most hits."""
-    totals = page.agg(
+def endpoint_snapshot(endpoints: DataFrame) -> DataFrame:
+    """Totals over all endpoints; the hotspot is the one with the most hits."""
+    totals = endpoints.agg(
         F.count("*").alias("endpoints"),
         F.coalesce(F.sum("total_hits"), F.lit(0)).alias("total_hits"),
         F.coalesce(F.sum("not_found_count"), F.lit(0)).alias("total_404"),
@@ -378,14 +386,14 @@ def endpoint_snapshot(page: DataFrame) -> DataFrame:
     )
 
 
-def endpoint_top(page: DataFrame, limit: int = 25) -> DataFrame:
-    return top_endpoints(page, limit).select("endpoint", "total_hits", "unique_visitors")
+def endpoint_top(endpoints: DataFrame, limit: int = 25) -> DataFrame:
+    return top_endpoints(endpoints, limit).select("endpoint", "total_hits", "unique_visitors")
 
 
-def endpoint_404_heavy(page: DataFrame, limit: int = 25) -> DataFrame:
+def endpoint_404_heavy(endpoints: DataFrame, limit: int = 25) -> DataFrame:
     share = F.col("not_found_count") / F.greatest("total_hits", F.lit(1)) * 100
     return (
-        page.where("not_found_count > 0")
+        endpoints.where("not_found_count > 0")
         .orderBy(F.desc("not_found_count"), "endpoint")
         .limit(limit)
         .select(
@@ -398,16 +406,16 @@ def endpoint_404_heavy(page: DataFrame, limit: int = 25) -> DataFrame:
     )
 
 
-def endpoint_heaviest(page: DataFrame, limit: int = 25) -> DataFrame:
+def endpoint_heaviest(endpoints: DataFrame, limit: int = 25) -> DataFrame:
     return (
-        page.orderBy(F.desc_nulls_last("avg_bytes"), "endpoint")
+        endpoints.orderBy(F.desc_nulls_last("avg_bytes"), "endpoint")
         .limit(limit)
         .select("endpoint", "avg_bytes", (F.col("avg_bytes") / 1024).alias("avg_kb"))
     )
 
 
-def endpoint_table(page: DataFrame) -> DataFrame:
-    return page.select(
+def endpoint_table(endpoints: DataFrame) -> DataFrame:
+    return endpoints.select(
         "endpoint",
         "total_hits",
         "not_found_count",

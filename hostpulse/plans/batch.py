@@ -22,8 +22,11 @@ def save_requests(requests: DataFrame, layers: Layers) -> DataFrame:
 
     Nearly all requests share one status. The rebalance hint lets adaptive
     execution split that status over many tasks and files, and keeps each rare
-    status in a few files instead of one per task.
+    status in a few files instead of one per task. Without adaptive execution one
+    task would write that status, so that is an error.
     """
+    if requests.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("storing requests by status needs spark.sql.adaptive.enabled")
     return layers.save(requests.hint("rebalance", "status"), "silver", partition_by="status")
 
 

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostpulse.sources.lines import spread
-
 _EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string"
@@ -48,7 +46,7 @@ def _line(host: str) -> str:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet"))
+    return spark.read.schema(_EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -258,9 +258,9 @@ _PARTS = {
     "page_hours": "select * from hourly_stats order by hour_bucket desc nulls last limit 168",
     "page_hosts": "select * from ip_behaviour order by total_requests desc, host limit 500",
     "page_endpoints": "select * from endpoint_stats order by total_hits desc, endpoint limit 500",
-    "shown_hosts": "select * from page_hosts order by total_requests desc, host limit 20",
+    "shown_hosts": "select * from ip_behaviour order by total_requests desc, host limit 20",
     "found": """
-        select * from page_findings
+        select * from live_findings
         where severity in ('CRITICAL', 'HIGH') and regexp_matches(host, '(?i)HOST1')""",
 }
 
@@ -299,6 +299,10 @@ _CLOSED = """
     window_start + interval 10 minute
         <= (select max("timestamp") from live_silver) - interval 10 minute"""
 
+# The blanks that a replay strips.
+_BLANKS = " || ".join(f"chr({code})" for code in (32, 9, 10, 13, 12, 11, 28, 29, 30, 31))
+_TRIMMED = f"select trim(log, {_BLANKS}) as log from lines"
+
 _BODIES = {
     "bronze_lines": "select log from lines",
     "silver_parse": "select * from silver",
@@ -309,8 +313,11 @@ _BODIES = {
     "status_partition_scan": "select * from silver where status = 404",
     "replay_feed": f"""
         select log from (select log, try_strptime(regexp_extract(log, {_PATTERN}, 2),
-            '%d/%b/%Y:%H:%M:%S %z') as event_time from lines)
-        order by event_time nulls last, log limit 5000""",
+            '%d/%b/%Y:%H:%M:%S %z') as event_time from ({_TRIMMED}) where log <> '')
+        order by event_time nulls last, log""",
+    "replay_summary": f"""
+        select count(*) as lines, count(*) filter (log <> '') as sent,
+            count(*) filter (log = '') as blank from ({_TRIMMED})""",
     "layer_counts": " union all ".join(
         f"""select '{layer}' as layer, count(*) as "rows" from {part}"""
         for layer, part in (
@@ -369,7 +376,7 @@ _BODIES = {
             metric_value
         from findings where severity = 'CRITICAL'
         order by findings.z_score desc nulls last, anomaly_source, host nulls first,
-            endpoint nulls first, detected_at nulls first limit 20""",
+            endpoint nulls first, detected_at nulls first""",
     "live_activity": "select * from live_activity",
     "live_enriched": "select * from live_enriched",
     "live_anomalies": "select * from live_findings",
@@ -380,7 +387,7 @@ _BODIES = {
     "critical_live": """
         select host, window_start, live_requests, rate_multiplier, global_z_score, anomaly_type
         from live_findings where severity = 'CRITICAL'
-        order by rate_multiplier desc nulls last, window_start, host limit 10""",
+        order by rate_multiplier desc nulls last, window_start, host""",
     "live_activity_stream": f"select * from live_activity where {_CLOSED}",
     "live_anomalies_stream": f"select * from live_findings where {_CLOSED}",
     "serve_anomalies": "select * from page_findings",
@@ -404,22 +411,21 @@ _BODIES = {
         select hour_bucket, total_requests, rolling_3hr_avg_requests,
             round(error_rate * 100, 6) as error_pct
         from hourly_stats order by hour_bucket desc nulls last limit 48""",
-    "source_status": f"""
+    "source_status": """
         select 'anomalies_stream' as source,
-            (select coalesce(bool_or(severity = 'CRITICAL'), false) from (
-                select severity from live_findings
-                order by {_RANK}, window_start desc, host limit 15)) as has_data,
+            (select coalesce(bool_or(severity = 'CRITICAL'), false) from live_findings) as has_data,
             'CONNECTED' as status
         union all select 'hourly_stats', (select count(*) > 0 from hourly_stats), 'CONNECTED'
-        union all select 'ip_behaviour', true, 'CONNECTED'
-        union all select 'endpoint_stats', true, 'CONNECTED'""",
+        union all select 'ip_behaviour', (select count(*) > 0 from ip_behaviour), 'CONNECTED'
+        union all select 'endpoint_stats', (select count(*) > 0 from endpoint_stats),
+            'CONNECTED'""",
     "anomaly_facets": f"""
         select 'anomaly_type' as facet, anomaly_type as choice,
             cast(row_number() over (order by anomaly_type) as integer) as position
-        from (select distinct anomaly_type from page_findings)
+        from (select distinct anomaly_type from live_findings)
         union all
         select 'severity', severity, cast(row_number() over (order by {_RANK}) as integer)
-        from (select distinct severity from page_findings)""",
+        from (select distinct severity from live_findings)""",
     "anomaly_search": "select * from found",
     "anomaly_search_tiles": """
         select count(*) as showing, count(*) filter (severity = 'CRITICAL') as critical,
@@ -427,16 +433,16 @@ _BODIES = {
             count(*) filter (severity = 'MEDIUM') as medium,
             count(*) filter (severity = 'LOW') as low from found""",
     "top_anomalous_hosts": """
-        select host, count(*) as "count" from page_findings
+        select host, count(*) as "count" from live_findings
         group by host order by 2 desc, host limit 15""",
     "severity_distribution": f"""
         select severity, n as "count", {_rounded("n / (sum(n) over ()) * 100", 1)} as share_pct
-        from (select severity, count(*) as n from page_findings group by 1)""",
+        from (select severity, count(*) as n from live_findings group by 1)""",
     "type_severity_pivot": """
         select anomaly_type, count(*) filter (severity = 'CRITICAL') as "CRITICAL",
             count(*) filter (severity = 'HIGH') as "HIGH",
             count(*) filter (severity = 'MEDIUM') as "MEDIUM",
-            count(*) filter (severity = 'LOW') as "LOW" from page_findings group by 1""",
+            count(*) filter (severity = 'LOW') as "LOW" from live_findings group by 1""",
     "anomaly_feed": f"select {_FEED} from page_findings",
     "traffic_snapshot": """
         select *, case when total_errors > 10000 then 'RED' else 'AMBER' end as errors_band,
@@ -460,14 +466,14 @@ _BODIES = {
         from (select count(*) as hosts, round(avg(total_requests), 6) as avg_requests,
                 round(avg(error_rate_pct), 6) as avg_error_pct,
                 max(total_requests) as max_requests,
-                max(unique_endpoints_hit) as max_endpoint_breadth from page_hosts)""",
+                max(unique_endpoints_hit) as max_endpoint_breadth from ip_behaviour)""",
     "ip_risk_quadrant": """
         select host, total_requests, error_rate_pct, q75,
             case when total_requests > q75 and error_rate_pct > 5 then 'HIGH VOLUME + HIGH ERROR'
                  when total_requests > q75 then 'HIGH VOLUME'
                  when error_rate_pct > 10 then 'HIGH ERROR' else 'NORMAL' end as risk
         from (select *, quantile_cont(cast(total_requests as double), 0.75) over () as q75
-            from (select * from page_hosts order by total_requests desc, host limit 200))""",
+            from ip_behaviour)""",
     "ip_top_volume": "select host, total_requests from shown_hosts",
     "ip_top_error": """
         select host, error_rate_pct, case when error_rate_pct > 10 then 'RED'
@@ -483,37 +489,39 @@ _BODIES = {
             from (select x, y, min(x) over () as x0, max(x) over () as x1,
                     min(y) over () as y0, max(y) over () as y1
                 from (select cast(total_requests as double) as x, error_rate_pct as y
-                    from page_hosts)))
+                    from ip_behaviour)))
         group by 1, 2""",
     "ip_lifecycle": """
         select host, total_requests,
             coalesce(printf('%.1f', error_rate_pct) || '%', '—') as error_rate_pct,
+            case when error_rate_pct > 10 then 'RED' when error_rate_pct > 5 then 'AMBER'
+                else 'GREEN' end as error_band,
             first_seen, last_seen, unique_endpoints_hit from shown_hosts""",
     "endpoint_snapshot": """
         select *, case when total_404 > 1000 then 'RED' else 'AMBER' end as not_found_band
         from (select count(*) as endpoints, cast(sum(total_hits) as bigint) as total_hits,
                 cast(sum(not_found_count) as bigint) as total_404,
                 round(avg(avg_bytes) / 1024, 6) as avg_kb,
-                (select endpoint from page_endpoints order by total_hits desc, endpoint limit 1)
+                (select endpoint from endpoint_stats order by total_hits desc, endpoint limit 1)
                     as hotspot
-            from page_endpoints)""",
+            from endpoint_stats)""",
     "endpoint_top": """
-        select endpoint, total_hits, unique_visitors from page_endpoints
+        select endpoint, total_hits, unique_visitors from endpoint_stats
         order by total_hits desc, endpoint limit 25""",
     "endpoint_404_heavy": """
         select endpoint, total_hits, not_found_count, round(pct, 6) as not_found_pct,
             case when pct > 50 then 'RED' when pct > 20 then 'ORANGE' else 'AMBER' end
                 as not_found_band
         from (select *, not_found_count / greatest(total_hits, 1) * 100 as pct
-            from page_endpoints where not_found_count > 0)
+            from endpoint_stats where not_found_count > 0)
         order by not_found_count desc, endpoint limit 25""",
     "endpoint_heaviest": """
-        select endpoint, avg_bytes, round(avg_bytes / 1024, 6) as avg_kb from page_endpoints
+        select endpoint, avg_bytes, round(avg_bytes / 1024, 6) as avg_kb from endpoint_stats
         order by avg_bytes desc nulls last, endpoint limit 25""",
     "endpoint_table": """
         select endpoint, total_hits, not_found_count,
             coalesce(printf('%.1f', avg_bytes / 1024) || ' KB', '—') as avg_bytes,
-            unique_visitors from page_endpoints""",
+            unique_visitors from endpoint_stats""",
 }
 
 ORACLES = {name: _sql(body) for name, body in _BODIES.items()}

@@ -6,7 +6,7 @@ use the stored ones (:func:`hostpulse.plans.workspace.stored_layers`).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from hostpulse.functions.rules import EXPLORER_RULES, JOB_RULES, LiveRules
 from hostpulse.operators import anomalies, baselines, live, parsing, rollups, serving
 from hostpulse.plans.feed import burst_lines, event_lines
-from hostpulse.plans.workspace import fresh_folder, stored_layers
+from hostpulse.plans.workspace import fresh_folder, kept_folder, stored_layers
 from hostpulse.session import pin
 from hostpulse.sources.lines import read_lines, stream_lines
 from hostpulse.sources.tables import Layers, sql_table
 from hostpulse.streaming.jobs import append_available, live_activity as streamed_activity
 from hostpulse.streaming.jobs import live_stream
-from hostpulse.streaming.replay import DAY, feed_in_order, replay_lines
+from hostpulse.streaming.replay import DAY, feed_in_order, replay_counts, replay_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,8 +54,10 @@ def _query(build: Query) -> Query:
     return run
 
 
-def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsing.parse_lines(event_lines(spark, sf_dir))
+def _requests(
+    spark: SparkSession, sf_dir: str, fields: Sequence[str] | None = None
+) -> DataFrame:
+    return parsing.parse_lines(event_lines(spark, sf_dir), fields=fields)
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +69,12 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written as compressed text and read back as lines."""
-    folder = f"{fresh_folder(spark)}/raw"
-    event_lines(spark, sf_dir).write.option("compression", "gzip").text(folder)
-    return read_lines(spark, folder)
+    """Written as compressed text and read back as lines; one copy per state of the table."""
+
+    def build(folder: str) -> None:
+        event_lines(spark, sf_dir).write.option("compression", "gzip").text(folder)
+
+    return read_lines(spark, kept_folder(spark, sf_dir, "raw", build))
 
 
 @_query
@@ -85,7 +89,7 @@ def parse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def status_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.status_distribution(_requests(spark, sf_dir)).orderBy(F.desc("count"), "status")
+    return rollups.status_distribution(_requests(spark, sf_dir, ["status"])).orderBy(F.desc("count"), "status")
 
 
 @_query
@@ -99,6 +103,11 @@ def replay_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_lines(event_lines(spark, sf_dir))
 
 
+@_query
+def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replay_counts(event_lines(spark, sf_dir))
+
+
 @_query
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_layers(spark, sf_dir).row_counts(
@@ -361,20 +370,24 @@ def live_anomalies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Reads of an operations view
 
 
+def _findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_layers(spark, sf_dir).load("live_anomalies")
+
+
 def _page_of_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.latest_anomalies(stored_layers(spark, sf_dir).load("live_anomalies"))
+    return serving.latest_anomalies(_findings(spark, sf_dir))
 
 
 def _page_of_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.latest_hours(stored_layers(spark, sf_dir).load("hourly_stats"))
 
 
-def _page_of_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.top_hosts(stored_layers(spark, sf_dir).load("ip_behaviour"))
+def _hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_layers(spark, sf_dir).load("ip_behaviour")
 
 
-def _page_of_endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.top_endpoints(stored_layers(spark, sf_dir).load("endpoint_stats"))
+def _endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_layers(spark, sf_dir).load("endpoint_stats")
 
 
 @_query
@@ -395,7 +408,7 @@ def serve_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def serve_endpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page_of_endpoints(spark, sf_dir)
+    return serving.top_endpoints(_endpoints(spark, sf_dir))
 
 
 @_query
@@ -421,19 +434,18 @@ def overview_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = stored_layers(spark, sf_dir)
     return serving.source_status(
-        serving.latest_anomalies(layers.load("live_anomalies"), 15),
-        serving.latest_hours(layers.load("hourly_stats"), 48),
+        *map(layers.load, ("live_anomalies", "hourly_stats", "ip_behaviour", "endpoint_stats"))
     )
 
 
 @_query
 def anomaly_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.anomaly_facets(_page_of_findings(spark, sf_dir))
+    return serving.anomaly_facets(_findings(spark, sf_dir))
 
 
 def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.search_anomalies(
-        _page_of_findings(spark, sf_dir), severities=("CRITICAL", "HIGH"), host="HOST1"
+        _findings(spark, sf_dir), severities=("CRITICAL", "HIGH"), host="HOST1"
     )
 
 
@@ -449,17 +461,17 @@ def anomaly_search_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def top_anomalous_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.top_anomalous_hosts(_page_of_findings(spark, sf_dir))
+    return serving.top_anomalous_hosts(_findings(spark, sf_dir))
 
 
 @_query
 def severity_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.severity_distribution(_page_of_findings(spark, sf_dir))
+    return serving.severity_distribution(_findings(spark, sf_dir))
 
 
 @_query
 def type_severity_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.type_severity_pivot(_page_of_findings(spark, sf_dir))
+    return serving.type_severity_pivot(_findings(spark, sf_dir))
 
 
 @_query
@@ -486,56 +498,56 @@ def traffic_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def ip_fleet_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = serving.ip_fleet_summary(_page_of_hosts(spark, sf_dir))
+    summary = serving.ip_fleet_summary(_hosts(spark, sf_dir))
     return _settled(summary, "avg_requests", "avg_error_pct")
 
 
 @_query
 def ip_risk_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ip_risk_quadrant(_page_of_hosts(spark, sf_dir))
+    return serving.ip_risk_quadrant(_hosts(spark, sf_dir))
 
 
 @_query
 def ip_top_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ip_top_volume(_page_of_hosts(spark, sf_dir))
+    return serving.ip_top_volume(_hosts(spark, sf_dir))
 
 
 @_query
 def ip_top_error(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ip_top_error(_page_of_hosts(spark, sf_dir))
+    return serving.ip_top_error(_hosts(spark, sf_dir))
 
 
 @_query
 def ip_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ip_density(_page_of_hosts(spark, sf_dir))
+    return serving.ip_density(_hosts(spark, sf_dir))
 
 
 @_query
 def ip_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.ip_lifecycle(_page_of_hosts(spark, sf_dir))
+    return serving.ip_lifecycle(_hosts(spark, sf_dir))
 
 
 @_query
 def endpoint_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(serving.endpoint_snapshot(_page_of_endpoints(spark, sf_dir)), "avg_kb")
+    return _settled(serving.endpoint_snapshot(_endpoints(spark, sf_dir)), "avg_kb")
 
 
 @_query
 def endpoint_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.endpoint_top(_page_of_endpoints(spark, sf_dir))
+    return serving.endpoint_top(_endpoints(spark, sf_dir))
 
 
 @_query
 def endpoint_404_heavy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    heavy = serving.endpoint_404_heavy(_page_of_endpoints(spark, sf_dir))
+    heavy = serving.endpoint_404_heavy(_endpoints(spark, sf_dir))
     return _settled(heavy, "not_found_pct")
 
 
 @_query
 def endpoint_heaviest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled(serving.endpoint_heaviest(_page_of_endpoints(spark, sf_dir)), "avg_kb")
+    return _settled(serving.endpoint_heaviest(_endpoints(spark, sf_dir)), "avg_kb")
 
 
 @_query
 def endpoint_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.endpoint_table(_page_of_endpoints(spark, sf_dir))
+    return serving.endpoint_table(_endpoints(spark, sf_dir))

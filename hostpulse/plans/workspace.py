@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from hostpulse.operators.live import against_baseline, host_activity, live_findings
 from hostpulse.operators.parsing import parse_lines
@@ -16,18 +16,27 @@ from hostpulse.plans.feed import burst_lines, event_lines
 from hostpulse.sources.tables import Layers
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="hostpulse-")
+LAYERS = (
+    "bronze",
+    "silver",
+    "host_endpoint",
+    "hourly_stats",
+    "ip_behaviour",
+    "endpoint_stats",
+    "ip_baselines",
+    "global_stats",
+    "anomalies",
+    "live_anomalies",
+)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """This application's part of the folder the cluster shares for such tables."""
+    """This application's part of the folder the cluster shares for such tables.
+
+    That is ``spark.checkpoint.dir``; without it the warehouse, which every session has.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = _local_folder()
+    folder = folder or spark.conf.get("spark.sql.warehouse.dir", None)
     return f"{folder}/hostpulse/{spark.sparkContext.applicationId}"
 
 
@@ -38,8 +47,36 @@ def fresh_folder(spark: SparkSession) -> str:
 _built: dict[str, str] = {}
 
 
-def _key(spark: SparkSession, sf_dir: str) -> str:
-    return f"{shared_folder(spark)} {sf_dir}"
+def _key(spark: SparkSession, sf_dir: str, what: str = "layers") -> str:
+    """Names what is built, and the state of its input: number, size, time and path of its files."""
+    files = spark.read.format("binaryFile").load(f"{sf_dir}/events.parquet")
+    state = files.agg(
+        F.count("*"),
+        F.sum("length"),
+        F.max("modificationTime").cast("string"),
+        F.bit_xor(F.xxhash64("path", "modificationTime", "length")),
+    ).first()
+    return f"{shared_folder(spark)} {sf_dir} {what} {tuple(state)}"
+
+
+def kept_folder(
+    spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], None]
+) -> str:
+    """The folder that ``build`` has filled for this state of the input, now or before."""
+    key = _key(spark, sf_dir, what)
+    if key not in _built:
+        folder = f"{fresh_folder(spark)}/{what}"
+        build(folder)
+        _built[key] = folder
+    return _built[key]
+
+
+def _complete(layers: Layers) -> bool:
+    """Whether every layer can be opened and has the files it had when it was built."""
+    try:
+        return all(layers.load(name).inputFiles() for name in LAYERS)
+    except AnalysisException:
+        return False
 
 
 def forget(spark: SparkSession, sf_dir: str) -> None:
@@ -52,17 +89,15 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> Layers:
 
     Queries over stored layers share them, as readers of a warehouse do: a
     hundred reads of the findings must not mean a hundred scans of the log. A
-    build goes to a folder of its own and counts only when complete; if its
-    folder has been cleared since, it is built again.
+    build goes to a folder of its own and counts only when complete. It is built
+    again when the input's files have changed, or a layer of it is gone.
     """
-    root = _built.get(_key(spark, sf_dir))
-    if root:
-        layers = Layers(spark, root)
-        try:
-            layers.load("live_anomalies")
+    key = _key(spark, sf_dir)
+    if key in _built:
+        layers = Layers(spark, _built[key])
+        if _complete(layers):
             return layers
-        except AnalysisException:
-            forget(spark, sf_dir)
+        del _built[key]
     layers = run_batch(event_lines(spark, sf_dir), Layers(spark, fresh_folder(spark)))
     scored = against_baseline(
         host_activity(parse_lines(burst_lines(spark, sf_dir))),
@@ -70,5 +105,5 @@ def stored_layers(spark: SparkSession, sf_dir: str) -> Layers:
         layers.load("global_stats"),
     )
     layers.save(live_findings(scored), "live_anomalies")
-    _built[_key(spark, sf_dir)] = layers.root
+    _built[key] = layers.root
     return layers

@@ -15,19 +15,18 @@ def as_log(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("value").cast("string").alias("log"))
 
 
-def spread(raw: DataFrame) -> DataFrame:
-    """Use the idle cores for an input with few splits, such as one large gzip file.
+def spread(raw: DataFrame, parts: int | None) -> DataFrame:
+    """The same rows dealt over so many parts, for an input with too few splits; None: as it is."""
+    return raw if parts is None else raw.repartition(parts)
 
-    Large inputs have more splits than the cluster has cores and stay as they
-    are: only one that would leave three quarters of the cores idle is shuffled.
-    """
-    cores = raw.sparkSession.sparkContext.defaultParallelism
-    return raw.repartition(cores) if raw.rdd.getNumPartitions() * 4 <= cores else raw
 
+def read_lines(spark: SparkSession, path: str, parts: int | None = None) -> DataFrame:
+    """Lines of text files, plain or compressed.
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text files, plain or compressed (a gzip file cannot be split)."""
-    return as_log(spread(spark.read.text(path)))
+    A gzip file cannot be split: a few large ones leave a cluster idle unless
+    their lines are dealt over ``parts``.
+    """
+    return as_log(spread(spark.read.text(path), parts))
 
 
 def stream_lines(

@@ -22,7 +22,7 @@ LIVE_QUERY = "anomaly_detection_stream"
 
 
 def live_activity(lines: DataFrame) -> DataFrame:
-    return host_activity(parse_lines(lines))
+    return host_activity(parse_lines(lines, fields=["host", "timestamp", "status"]))
 
 
 def live_stream(lines: DataFrame, layers: Layers, rules: LiveRules = JOB_RULES) -> DataFrame:

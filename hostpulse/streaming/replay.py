@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostpulse.operators.parsing import event_time
-from hostpulse.sources.lines import trimmed
+from hostpulse.sources.lines import BLANKS, trimmed
 
 DAY = 86_400
 
@@ -22,19 +22,36 @@ def _copy() -> Column:
     return F.monotonically_increasing_id()
 
 
-def replay_lines(lines: DataFrame, limit: int | None = 5000) -> DataFrame:
-    """The first lines by event time, trimmed, without blank ones; lines without a time last."""
+def replay_counts(lines: DataFrame) -> DataFrame:
+    """Lines read, sent, and skipped as blank by a replay."""
+    text = F.btrim("log", F.lit(BLANKS))
+    return lines.agg(
+        F.count("*").alias("lines"),
+        F.count_if(text != "").alias("sent"),
+        F.count_if(text == "").alias("blank"),
+    )
+
+
+def replay_lines(lines: DataFrame, limit: int | None = None) -> DataFrame:
+    """Lines by event time, trimmed, without blank ones; lines without a time last.
+
+    With a ``limit`` only the first ones.
+    """
     # As columns: a sort evaluates its expressions anew for each comparison.
     keyed = trimmed(lines).select("log", event_time().alias("at"), _copy().alias("copy"))
     ordered = keyed.orderBy(F.asc_nulls_last("at"), "log", "copy")
     return (ordered if limit is None else ordered.limit(limit)).select("log")
 
 
-def write_ordered(lines: DataFrame, path: str, files: int = 20) -> None:
-    """Text files that each hold one range of event times, sorted."""
+def write_ordered(lines: DataFrame, path: str, files: int | None = None) -> None:
+    """Text files that each hold one range of event times, sorted.
+
+    Without a number of ``files`` adaptive execution sizes them.
+    """
+    ranges = [] if files is None else [files]
     (
         lines.select("log", event_time().alias("at"), _copy().alias("copy"))
-        .repartitionByRange(files, "at", "log", "copy")
+        .repartitionByRange(*ranges, "at", "log", "copy")
         .sortWithinPartitions("at", "log")
         .select("log")
         .write.mode("overwrite")
@@ -42,7 +59,7 @@ def write_ordered(lines: DataFrame, path: str, files: int = 20) -> None:
     )
 
 
-def write_shuffled(lines: DataFrame, path: str, files: int = 20) -> None:
+def write_shuffled(lines: DataFrame, path: str, files: int) -> None:
     """Text files that each hold lines of all times, as a feed without order would."""
     lines.select("log").repartition(files).write.mode("overwrite").text(path)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as spark_entry
+from hostpulse.plans.oracles import ORACLES
+from hostpulse.plans.registry import QUERIES
 from hostpulse.plans.workspace import shared_folder
 from tests.compare import check, database
 
@@ -17,10 +19,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(spark_entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert check(spark, con, name, SF_DIR) is None
 
@@ -44,7 +47,7 @@ def test_layers_are_built_again_when_cleared(spark, monkeypatch):
 STREAMED = {"live_activity_stream", "live_anomalies_stream"}
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - STREAMED))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED))
 def test_plan_has_no_cross_join_and_no_python(spark, name):
     frame = spark_entry.queries()[name](spark, SF_DIR)
     plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -52,7 +55,7 @@ def test_plan_has_no_cross_join_and_no_python(spark, name):
         assert operator not in plan
 
 
-@pytest.mark.parametrize("name", ["serve_anomalies", "serve_ip", "serve_endpoint", "replay_feed"])
+@pytest.mark.parametrize("name", ["serve_anomalies", "serve_ip", "serve_endpoint"])
 def test_pages_are_a_top_k(spark, name):
     frame = spark_entry.queries()[name](spark, SF_DIR)
     assert "TakeOrderedAndProject" in frame._jdf.queryExecution().executedPlan().toString()
@@ -64,13 +67,62 @@ class Session:
     class conf:
         @staticmethod
         def get(key, default):
-            return default
+            return {"spark.sql.warehouse.dir": "hdfs://store/warehouse"}.get(key, default)
 
     def __init__(self, master):
         self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
 
 
-def test_shared_folder_must_be_named_on_a_cluster():
-    with pytest.raises(RuntimeError):
-        shared_folder(Session("spark://host:7077"))
-    assert shared_folder(Session("local[2]")).endswith("/hostpulse/app")
+def test_shared_folder_is_never_a_local_one():
+    for master in ("spark://host:7077", "local[2]"):
+        assert shared_folder(Session(master)) == "hdfs://store/warehouse/hostpulse/app"
+
+
+def test_layers_follow_their_input_and_need_every_layer(spark, tmp_path):
+    from hostpulse.plans import workspace
+
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet")
+    folder = str(tmp_path / "sf")
+    events.limit(500).write.parquet(f"{folder}/events.parquet")
+
+    def bronze():
+        counts = spark_entry.queries()["layer_counts"](spark, folder).collect()
+        return {row.layer: row["rows"] for row in counts}["bronze"]
+
+    assert bronze() == 500
+    events.limit(50).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    assert bronze() == 50
+    layers = workspace.stored_layers(spark, folder)
+    assert workspace.stored_layers(spark, folder) == layers
+    gone = type(layers)(spark, layers.root + "-partly")
+    key = next(key for key, root in workspace._built.items() if root == layers.root)
+    layers.load("live_anomalies").write.parquet(gone.path("live_anomalies"))
+    workspace._built[key] = gone.root
+    again = workspace.stored_layers(spark, folder)
+    assert again.root not in (gone.root, layers.root) and again.load("silver").count() > 0
+
+
+def test_measures_take_their_whole_table(spark):
+    def rows(name):
+        return spark_entry.queries()[name](spark, "/root/testdata/sf0.1").collect()
+
+    assert rows("ip_fleet_summary")[0].hosts == rows("serve_kpi")[0].unique_ips > 500
+    by_severity = {row.severity: row["count"] for row in rows("live_by_severity")}
+    assert {row.severity: row["count"] for row in rows("severity_distribution")} == by_severity
+    assert len(rows("ip_risk_quadrant")) == rows("serve_kpi")[0].unique_ips
+    summary = rows("replay_summary")[0]
+    assert len(rows("replay_feed")) == summary.sent == summary.lines - summary.blank
+
+
+BY_HOUR = {"hourly_stats", "hourly_lag_change", "hourly_zscores", "hourly_anomalies", "batch_anomalies"}
+BY_HOUR |= {"anomaly_summary", "anomaly_by_source_type", "anomaly_by_severity", "critical_batch"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMED - BY_HOUR))
+def test_no_window_spans_a_table(spark, name):
+    """Only the hourly rollup, one row per hour, has windows without a key."""
+    frame = spark_entry.queries()[name](spark, SF_DIR)
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    for line in plan.splitlines():
+        if "Window [" in line:
+            assert "windowspecdefinition(" in line and "windowspecdefinition(specified" not in line

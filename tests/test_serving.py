@@ -113,10 +113,11 @@ def test_headline_numbers_without_data(spark, page):
 
 
 def test_source_status(spark, page):
-    status = serving.source_status(page.limit(0), hours(spark))
-    assert [tuple(r)[1] for r in status.collect()] == [False, False, True, True]
-    status = serving.source_status(page, hours(spark, (None, 1, 0.0)))
-    assert [tuple(r)[1] for r in status.collect()] == [True, True, True, True]
+    known, seen = hosts(spark, ("a", 1, 0.0)), endpoints(spark, ("/a", 1, 0.0, 0))
+    status = serving.source_status(page.limit(0), hours(spark), known, seen.limit(0))
+    assert [tuple(r)[1] for r in status.collect()] == [False, False, True, False]
+    status = serving.source_status(page, hours(spark, (None, 1, 0.0)), known.limit(0), seen)
+    assert [tuple(r)[1] for r in status.collect()] == [True, True, False, True]
 
 
 def test_traffic_snapshot(spark):
@@ -134,8 +135,8 @@ def test_risk_classes(spark):
     assert {h: risk for h, (_, risk) in found.items() if h != "a"} == {
         "b": "NORMAL", "c": "HIGH ERROR", "d": "NORMAL", "e": "NORMAL",
     }
-    # Only the shown hosts set the quartile.
-    assert serving.ip_risk_quadrant(table, 2).first()["q75"] == 97.5
+    repeated = hosts(spark, *[(f"h{n}", 1 if n < 9 else 1000, 0.0) for n in range(10)])
+    assert {r["q75"] for r in serving.ip_risk_quadrant(repeated).collect()} == {1.0}
 
 
 def test_density_cells(spark):

@@ -111,3 +111,51 @@ def test_only_a_small_profile_is_broadcast(spark, tmp_path):
     hinted = [f._jdf.queryExecution().logical().toString() for f in (small, large)]
     assert "broadcast" in hinted[0].lower() and "broadcast" not in hinted[1].lower()
     assert sized_for_join(profile.limit(0)).count() == 0
+
+
+def test_lines_dealt_over_parts(spark, tmp_path):
+    spark.range(100).selectExpr("string(id)").coalesce(1).write.option("compression", "gzip").text(f"{tmp_path}/in")
+    assert sources.read_lines(spark, f"{tmp_path}/in").rdd.getNumPartitions() == 1
+    dealt = sources.read_lines(spark, f"{tmp_path}/in", parts=5)
+    assert dealt.rdd.getNumPartitions() == 5 and dealt.distinct().count() == 100
+
+
+def test_requests_by_status_need_adaptive_execution(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(ValueError):
+            run_batch(event_lines(spark, SF_DIR), Layers(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_topic_writer_options(monkeypatch):
+    class Frame:
+        def __init__(self):
+            self.told = {}
+            self.write = self
+
+        def select(self, *columns):
+            return self
+
+        def format(self, name):
+            self.told["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.told[key] = value
+            return self
+
+        def save(self):
+            self.told["saved"] = True
+
+    monkeypatch.setattr(sources.F, "col", lambda name: type("C", (), {"alias": lambda self, to: self})())
+    frame = Frame()
+    sources.write_topic(frame, "broker:9092", "access")
+    assert frame.told == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "broker:9092",
+        "kafka.acks": "all",
+        "topic": "access",
+        "saved": True,
+    }
