@@ -173,11 +173,12 @@ def _op3_sql() -> str:
       FROM scores JOIN ruled USING (page_id) WHERE part = 0 AND verdict IS NOT NULL GROUP BY bin
     ), gains AS (
       SELECT bin, coalesce(sum(block) OVER below, 0) / sum(block) OVER ()
-        - coalesce(sum(allow) OVER below, 0) / sum(allow) OVER () AS gain
+        - coalesce(sum(allow) OVER below, 0) / sum(allow) OVER () AS gain,
+        coalesce(lag(bin) OVER (ORDER BY bin) + 1, bin) AS gap
       FROM bins WHERE (SELECT sum(allow) > 0 AND sum(block) > 0 FROM bins)
       WINDOW below AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
     ), cut AS (
-      SELECT coalesce((SELECT bin / 100.0 FROM gains ORDER BY gain DESC, bin LIMIT 1), 0) AS cut
+      SELECT coalesce((SELECT (bin + gap) / 200.0 FROM gains ORDER BY gain DESC, bin LIMIT 1), 0) AS cut
     )
     SELECT page_id, host, path, rule,
       coalesce(verdict, CASE WHEN score >= cut THEN 'allow' ELSE 'block' END) AS verdict

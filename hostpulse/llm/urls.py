@@ -126,8 +126,9 @@ def _threshold(scores: DataFrame) -> DataFrame:
     """One row ``cut``: the score from which on addresses are accepted.
 
     Of all cuts between bins of 1 / _BINS it is the one with the best sum of the
-    rates of accepted addresses at or above it and rejected ones below it; of
-    equally good ones the lowest. 0 if one of the two kinds is missing.
+    rates of accepted addresses at or above it and rejected ones below it, of
+    equally good ones the lowest, in the middle of the gap between its two bins.
+    0 if one of the two kinds is missing.
     """
     place = F.greatest(F.least(F.floor(F.col("score") * _BINS), F.lit(20 * _BINS)), F.lit(-20 * _BINS))
     bins = (
@@ -150,10 +151,15 @@ def _threshold(scores: DataFrame) -> DataFrame:
         .where("some IS NOT NULL")
         .withColumn("total", F.sum("allow").over(every))
         .where("total > 0")
-        .select("bin", gain.alias("gain"))
+        .select(
+            "bin",
+            gain.alias("gain"),
+            F.coalesce(F.lag("bin").over(Window.orderBy("bin")) + 1, "bin").alias("from"),
+        )
     )
-    chosen = best.agg(F.max_by("bin", F.struct("gain", -F.col("bin"))).alias("bin"))
-    return chosen.select(F.coalesce(F.col("bin") / _BINS, F.lit(0.0)).alias("cut"))
+    middle = (F.col("bin") + F.col("from")) / (2 * _BINS)
+    chosen = best.agg(F.max_by(middle, F.struct("gain", -F.col("bin"))).alias("cut"))
+    return chosen.select(F.coalesce("cut", F.lit(0.0)).alias("cut"))
 
 
 def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -104,8 +104,9 @@ def test_toxicity_on_held_out_labels(spark):
     model = fit_toxicity(docs, labels.where("crc32(string(doc_id)) % 4 <> 0"))
     assert model.cuts[0] < model.cuts[1]
     held = labels.where("crc32(string(doc_id)) % 4 = 0 AND toxic IS NOT NULL")
-    found = score_toxicity(docs.join(held, "doc_id", "left_semi"), model).join(held, "doc_id")
-    counts = {(r[0], r[1]): r[2] for r in found.groupBy("toxic", held["toxic"]).count().collect()}
+    found = score_toxicity(docs.join(held, "doc_id", "left_semi"), model)
+    found = found.join(held.selectExpr("doc_id", "toxic AS label"), "doc_id")
+    counts = {(r[0], r[1]): r[2] for r in found.groupBy("toxic", "label").count().collect()}
     assert counts.get((True, 0), 0) <= 0.01 * counts[False, 0]
     assert counts.get((True, 1), 0) >= 0.8 * (counts.get((True, 1), 0) + counts.get((False, 1), 0))
 
