@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from hostpulse.llm.store import map_rows
 
 SPACE = "▁"
-_KEPT = 200_000  # segments whose ids a worker remembers, of up to _SHORT characters each
+_KEPT = 400_000  # segments whose ids a worker remembers, of up to _SHORT characters each
 _SHORT = 48
-_PAIRS = 500_000  # tested pairs a worker remembers
+_PAIRS = 1_000_000  # tested pairs a worker remembers
 
 
 class _Remembered(dict):
@@ -179,7 +179,7 @@ def encode_pieces(
     A null text is empty and has the two ids of begin and end. Null ids stay
     null, repeated rows are encoded each, and other columns are not read. One
     pass, no shuffle. A worker holds one Arrow batch of texts, the model, the
-    tested pairs and the ids of up to 200,000 short segments.
+    tested pairs and the ids of up to 400,000 short segments.
     """
     wanted = [_OUTPUTS[name] for name in outputs]
 
