@@ -27,9 +27,10 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
+# The possessive parts keep a header without an end, before a long run of blanks, linear.
 _PEM = re.compile(
-    r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----\s*((?:[A-Za-z-]+: [^\n]*\n)*)"
-    r"([A-Za-z0-9+/=\s]+)-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"
+    r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----\s*+((?:[A-Za-z-]+: [^\n]*\n)*+)"
+    r"([A-Za-z0-9+/=\s]++)-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"
 )
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){30,}(?![0-9A-Fa-f])")

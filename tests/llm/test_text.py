@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import json
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -155,6 +156,14 @@ def test_tokens_and_openssh():
     assert "openssh" in kinds(key)
 
 
+def test_long_runs_behind_a_key_header_take_linear_time():
+    header = "-----BEGIN PRIVATE KEY-----"
+    begin = time.process_time()
+    assert kinds(header + " " * 1_000_000) == kinds(header + "a: \n" * 300_000) == []
+    assert kinds((header + "\n") * 20_000 + "A" * 1_000_000) == []
+    assert time.process_time() - begin < 20
+
+
 def test_scan_odd_rows(spark, empty):
     long = "e " * 300_000 + "token=abcdefgh"
     rows = [(1, None), (None, "token=abcdefgh"), (2, ""), (2, ""), (3, long)]
