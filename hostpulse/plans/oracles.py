@@ -27,19 +27,43 @@ def _zscore(value: str, name: str) -> str:
     return _rounded(f"({value} - mean_{name}) / nullif(stddev_{name}, 0)", 2)
 
 
+_HOST = """
+    case when event_id % 29 = 4 then 'crawler'
+         when event_type = 'error' and event_id % 31 = 5 then 'scanner'
+         when event_type <> 'error' and event_id % 18 = 1 then 'poller'
+         when event_id % 2000 = 5 then concat('mirror', event_id)
+         when event_type <> 'error' and event_id % 7 = 6
+           then concat('host', user_id, '-', event_id % 11)
+         else concat('host', user_id) end"""
+
+
 def _line(host: str) -> str:
     return f"""
     case when event_id % 97 = 0 then concat('GARBAGE ', event_id)
+         when event_id % 107 = 1 then '   '
          else concat({host}, ' - - [',
              case when event_id % 101 = 0 then 'bad-time'
-                  else concat(strftime(ts, '%d/%b/%Y:%H:%M:%S'), ' +0000') end,
-             '] "', case when event_type in ('purchase', 'signup') then 'POST' else 'GET' end,
-             ' /', event_type, '/', json_extract_string(props, '$.k'), ' HTTP/1.0" ',
+                  when ts >= timestamp '2024-01-12 04:00:00' and ts < timestamp '2024-01-12 07:00:00'
+                    and event_id % 100 <> 0 then 'bad-time'
+                  else concat(strftime(ts, '%d/%b/%Y:%H:%M:%S'),
+                    case event_id % 13 when 0 then ' -0400' when 1 then ' +0530'
+                      else ' +0000' end) end,
+             '] "', case when event_type in ('purchase', 'signup') then 'POST' else 'GET' end, ' ',
+             case when event_id % 6 = 1 then '/index'
+                  when event_type <> 'error' and event_id % 11 = 2 then '/home'
+                  when event_type = 'error' and event_id % 13 = 8 then '/missing'
+                  else concat('/', event_type, '/', json_extract_string(props, '$.k'),
+                    case when event_id % 23 = 7 then concat('/', event_id % 5) else '' end) end,
+             ' HTTP/1.0" ',
              case when event_type = 'error' and event_id % 3 <> 0 then 404
                   when event_type = 'error' then 500
                   when event_id % 17 = 0 then 304 else 200 end, ' ',
              case when event_id % 17 = 0 then '-'
-                  else cast(cast(floor(value * 100) as bigint) as varchar) end)
+                  when event_id % 89 = 1 then '12x'
+                  when event_id % 89 = 2 then '3000000000'
+                  when event_id % 2000 = 5 then '90000000'
+                  else cast(cast(floor(value * 100) as bigint) as varchar) end,
+             case when event_id % 103 = 1 then '  ' else '' end)
     end"""
 
 
@@ -82,11 +106,10 @@ _RANK = """case severity when 'CRITICAL' then 1 when 'HIGH' then 2 when 'MEDIUM'
     when 'LOW' then 4 else 5 end"""
 
 _PARTS = {
-    "lines": f"select {_line("concat('host', user_id)")} as log from events",
+    "lines": f"select {_line(_HOST)} as log from events",
     "live_lines": f"""
         select log from (select {_line(
-            "case when event_id % 2500 = 3 then concat('ghost', event_id) "
-            "else concat('host', user_id) end")} as log,
+            f"case when event_id % 2500 = 3 then concat('ghost', event_id) else {_HOST} end")} as log,
             case event_id % 2500 when 1 then 60 when 2 then 8 when 3 then 40 else 1 end as reps
             from events), unnest(range(reps)) as copies(copy)""",
     "silver": _requests("lines"),

@@ -126,3 +126,21 @@ def test_no_window_spans_a_table(spark, name):
     for line in plan.splitlines():
         if "Window [" in line:
             assert "windowspecdefinition(" in line and "windowspecdefinition(specified" not in line
+
+
+def test_told_lines_reach_the_rules():
+    found = database("/root/testdata/sf0.01").execute(ORACLES["batch_anomalies"]).df()
+    assert {
+        "BOT_SCRAPER",
+        "ENDPOINT_SCANNER",
+        "BULK_DOWNLOADER",
+        "HIGH_ERROR_IP",
+        "GENERALLY_SUSPICIOUS",
+        "MOSTLY_BROKEN_ENDPOINT",
+        "ATTACKED_ENDPOINT",
+        "UNUSUALLY_HEAVY_PAYLOAD",
+        "HOTSPOT_ENDPOINT",
+        "TRAFFIC_SPIKE",
+        "ERROR_SURGE",
+        "SUDDEN_HOH_JUMP",
+    } <= set(found["anomaly_type"])
