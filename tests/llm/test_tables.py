@@ -12,6 +12,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
+from hostpulse.llm.copies import copy_groups
 from hostpulse.llm.quality import fold_of, isotonic, score_quality, statistics_of
 from hostpulse.llm.queries import ORACLES, QUERIES, URL_RULES
 from hostpulse.llm.simhash import fingerprint
@@ -396,3 +397,62 @@ def test_stages_on_empty_tables(spark):
     docs = table(spark, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF_DIR).count() == 0
+
+
+def shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    starts = range(max(len(words) - size, 0) + 1) if words else ()
+    return {b" ".join(words[start : start + size]) for start in starts}
+
+
+def copies_brute(rows, least=0.8):
+    """Smallest reachable doc_id; every pair that shares a shingle is compared whole."""
+    sets, holders = [shingles(text) for _, text in rows], {}
+    for place, found in enumerate(sets):
+        for shingle in found:
+            holders.setdefault(shingle, []).append(place)
+    pairs = {
+        (one, two)
+        for place, found in enumerate(sets)
+        for shingle in sorted(found, key=lambda x: len(holders[x]))[: len(found) // 5 + 1]
+        for one, two in ((place, other) for other in holders[shingle])
+        if len(sets[one] & sets[two]) >= least * len(sets[one] | sets[two])
+    }
+    blank = [place for place, found in enumerate(sets) if not found]
+    pairs |= {(blank[0], place) for place in blank}
+    ids = {}
+    for place, (doc, _) in enumerate(rows):  # rows of one doc_id are one document
+        pairs.add((ids.setdefault(doc, place), place))
+    one, two = zip(*pairs)
+    roots = local_roots(len(rows), np.array(one), np.array(two))
+    lowest = {}
+    for (doc, _), root in zip(rows, roots):
+        lowest[root] = min(doc, lowest.get(root, doc))
+    return {doc: lowest[root] for (doc, _), root in zip(rows, roots)}
+
+
+def test_group_stage_against_brute_force_similarity(staged):
+    before, after = staged["simhash_dedup"]
+    groups = copies_brute(list(zip(before["doc_id"], before["text"])))
+    assert sorted(after["doc_id"]) == sorted(set(groups.values()))
+
+
+def test_copy_groups_against_brute_force(spark):
+    rng = np.random.default_rng(7)
+    word = lambda: f"w{rng.integers(4000)}"
+    rows, doc = [], 0
+    for _ in range(120):
+        words = [word() for _ in range(int(rng.integers(3, 300)))]
+        for _ in range(6):
+            edited = list(words)
+            for _ in range(int(rng.integers(0, 2 + len(words) // 60))):
+                edited[int(rng.integers(len(edited)))] = word()
+            doc += 1
+            rows.append((1000 - doc, " ".join(edited)))
+    rows += [(2000, None), (2001, ""), (2002, " \n"), (2003, rows[0][1].upper()), (2004, "one")]
+    rows += [(2004, rows[8][1]), (2004, "one"), (2005, "one"), (2006, "ONE")]
+    expected = copies_brute(rows)
+    found = copy_groups(spark.createDataFrame([*rows, (None, "one")], DOCS)).collect()
+    assert len(found) == len(expected)
+    wrong = [row for row in found if expected[row.doc_id] != row.component_id]
+    assert len(wrong) <= 0.01 * len(found)  # a pair at 0.8 is missed once in 2,500 times
