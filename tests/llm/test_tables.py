@@ -15,7 +15,6 @@ import corpus_pipeline
 from hostpulse.llm.copies import copy_groups
 from hostpulse.llm.quality import fold_of, isotonic, score_quality, statistics_of
 from hostpulse.llm.queries import ORACLES, QUERIES, URL_RULES
-from hostpulse.llm.simhash import fingerprint
 from hostpulse.llm.toxicity import fit_toxicity, score_toxicity, without_toxic
 from hostpulse.llm.urls import judge_urls
 from hostpulse.llm.vectors import local_roots, near_vectors
@@ -355,21 +354,6 @@ def test_line_stage_against_brute_force(staged):
     assert (after["n_chars"] == after["text"].str.len()).all()
 
 
-def test_group_stage_against_brute_force(staged):
-    before, after = staged["simhash_dedup"]
-    prints = pd.Series({row.doc_id: fingerprint(row.text) for row in before.itertuples()})
-    values = np.array(prints.to_list(), dtype=np.uint64)
-    unique, places = np.unique(values, return_inverse=True)
-    one, two = [], []
-    for place, value in enumerate(unique):
-        near = np.nonzero(np.bitwise_count(unique ^ value) <= 4)[0]
-        one += [place] * len(near)
-        two += near.tolist()
-    roots = local_roots(len(unique), np.array(one), np.array(two))[places]
-    kept = pd.Series(prints.index).groupby(roots).min()
-    assert sorted(after["doc_id"]) == sorted(kept)
-
-
 def test_benchmark_stage(spark, staged):
     before, after = staged["decontamination"]
     items = [row.text for row in table(spark, "benchmark", "/root/testdata/sf0.1").collect()]
