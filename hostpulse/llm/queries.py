@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hostpulse.llm.decontaminate import find_leaks
 from hostpulse.llm.lines import dedup_lines
+from hostpulse.llm.merkle import document_manifest
 from hostpulse.llm.pieces import encode_pieces
 from hostpulse.llm.quality import score_quality
 from hostpulse.llm.secrets import BASE, scan_secrets
@@ -113,6 +114,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(_table(spark, sf_dir, "pages"), payloads=False).drop("payload")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether it still verifies after tampering."""
+    siblings = F.transform("path", lambda step: F.concat(step.left, step.right))
+    return document_manifest(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(siblings, ""), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 def _op3_sql() -> str:
     rules = ", ".join(f"('{rule.host}', '{rule.path}', '{rule.verdict}')" for rule in URL_RULES)
     levels = []
@@ -237,6 +252,90 @@ SELECT page_id, cast(size AS bigint) AS payload_bytes, sha256(html) AS payload_d
 FROM judged
 """
 
+def _field(value: str) -> str:
+    value = f"cast({value} AS varchar)"
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+def _op11_sql() -> str:
+    head = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+    plain, altered = _field("text"), _field("replace(text, chr(10), '')")
+    # The lowest bit of a CRC-32, by its bits: DuckDB has no function for it.
+    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    crc = f"""
+      list_reduce(list_transform(string_split(cast(doc_id AS varchar), ''), lambda s: ord(s)::bigint),
+        lambda crc, byte: list_reduce(
+          [xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, ignored: {bit}), 4294967295::bigint)
+    """
+    levels = """
+      SELECT {tree} AS tree, 0::bigint AS level, row_number() OVER (PARTITION BY {tree} ORDER BY {order}) - 1 AS place,
+        count(*) OVER (PARTITION BY {tree}) AS n, {digest} AS digest FROM {table}
+      UNION ALL
+      SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY place))
+      FROM {name} WHERE n > 1 GROUP BY tree, level, place // 3, n
+    """
+    steps = """
+      SELECT {columns}, {start} AS tree, 0::bigint AS level, {place} AS place, {n} AS n, {proof} AS proof,
+        {folded} AS folded FROM {table}
+      UNION ALL
+      SELECT {carried}, p.tree, p.level + 1, p.place // 3, (p.n + 2) // 3,
+        p.proof || coalesce(
+          list_aggregate(list_filter(run, lambda x, i: i <> p.place % 3 + 1), 'string_agg', ''), ''),
+        sha256(list_aggregate(list_transform(run, lambda x, i: CASE WHEN i = p.place % 3 + 1 THEN p.folded ELSE x END),
+          'string_agg', ''))
+      FROM {name} p JOIN {runs} r ON p.tree IS NOT DISTINCT FROM r.tree AND p.level = r.level AND p.place // 3 = r.run_no
+      WHERE p.n > 1
+    """
+    runs = """SELECT tree, level, place // 3 AS run_no, list(digest ORDER BY place) AS run
+      FROM {nodes} GROUP BY tree, level, place // 3"""
+    low = levels.format(tree="source", order="doc_id NULLS FIRST, leaf", digest="leaf", table="leaves", name="nodes")
+    high = levels.format(tree="1", order="tree NULLS FIRST", digest="digest", table="subroots", name="tops")
+    up = steps.format(
+        columns="doc_id, leaf, crc",
+        carried="p.doc_id, p.leaf, p.crc",
+        start="source",
+        place="place",
+        n="n",
+        proof="''",
+        folded="CASE WHEN crc % 2 = 0 THEN altered ELSE leaf END",
+        table="placed",
+        name="climb",
+        runs="runs",
+    )
+    over = steps.format(
+        columns="doc_id, leaf, subroot",
+        carried="p.doc_id, p.leaf, p.subroot",
+        start="1",
+        place="place",
+        n="n",
+        proof="proof",
+        folded="folded",
+        table="arrived",
+        name="top_climb",
+        runs="top_runs",
+    )
+    return f"""
+    WITH RECURSIVE leaves AS (
+      SELECT doc_id, source, sha256({head} || {plain}) AS leaf, sha256({head} || {altered}) AS altered,
+        xor({crc}, 4294967295) AS crc
+      FROM documents
+    ), placed AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+        count(*) OVER (PARTITION BY source) AS n FROM leaves
+    ), nodes AS ({low}), subroots AS (SELECT tree, digest FROM nodes WHERE n = 1
+    ), tops AS ({high}), runs AS ({runs.format(nodes="nodes")}), top_runs AS ({runs.format(nodes="tops")}
+    ), climb AS ({up}), arrived AS (
+      SELECT doc_id, leaf, s.digest AS subroot, proof, folded, s.place, s.n
+      FROM climb c JOIN (SELECT *, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place,
+        count(*) OVER () AS n FROM subroots) s ON c.tree IS NOT DISTINCT FROM s.tree
+      WHERE c.n = 1
+    ), top_climb AS ({over})
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root,
+      folded = root AS verified
+    FROM (SELECT *, (SELECT max(digest) FROM tops WHERE n = 1) AS root FROM top_climb) WHERE n = 1
+    """
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -248,6 +347,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pieces": op9_pieces,
     "op10_warc": op10_warc,
+    "op11_merkle": op11_merkle,
 }
 
 ORACLES = {
@@ -255,4 +355,5 @@ ORACLES = {
     "op4_vectors": _OP4_SQL,
     "op8_line_dedup": _OP8_SQL,
     "op10_warc": _OP10_SQL,
+    "op11_merkle": _op11_sql(),
 }
