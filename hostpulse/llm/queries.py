@@ -12,6 +12,7 @@ from hostpulse.llm.pieces import encode_pieces
 from hostpulse.llm.quality import score_quality
 from hostpulse.llm.secrets import BASE, scan_secrets
 from hostpulse.llm.simhash import simhash_groups
+from hostpulse.llm.tokens import checked_ids, token_files
 from hostpulse.llm.toxicity import fit_toxicity, score_toxicity
 from hostpulse.llm.urls import ALPHABET, ORDER, Rule, judge_urls
 from hostpulse.llm.vectors import near_vectors
@@ -128,6 +129,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, number and checksum of ids, as read back from the files."""
+    docs = _table(spark, sf_dir, "documents")
+    return checked_ids(token_files(docs, "word_bpe_49k.json", end_id=1))
+
+
 def _op3_sql() -> str:
     rules = ", ".join(f"('{rule.host}', '{rule.path}', '{rule.verdict}')" for rule in URL_RULES)
     levels = []
@@ -348,6 +355,7 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_warc": op10_warc,
     "op11_merkle": op11_merkle,
+    "op13_tokens": op13_tokens,
 }
 
 ORACLES = {
