@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hostpulse.llm.decontaminate import find_leaks
 from hostpulse.llm.lines import dedup_lines
 from hostpulse.llm.merkle import document_manifest
+from hostpulse.llm.negatives import hard_negatives
 from hostpulse.llm.pieces import encode_pieces
 from hostpulse.llm.quality import score_quality
 from hostpulse.llm.secrets import BASE, scan_secrets
@@ -129,6 +130,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, after some labels have moved on by one."""
+    moved = F.when(F.expr("vec_id % 7 = 0"), (F.col("label").cast("bigint") + 1) % 10)
+    vectors = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.coalesce(moved, F.col("label").cast("bigint"))
+    )
+    return hard_negatives(vectors, F.expr("vec_id % 100 = 0"))
+
+
 def op13_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, number and checksum of ids, as read back from the files."""
     docs = _table(spark, sf_dir, "documents")
@@ -343,6 +353,28 @@ def _op11_sql() -> str:
     """
 
 
+_OP12_SQL = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::bigint + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::double[], lambda x: floor(256 * x)) AS whole
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    cast(list_inner_product(a.whole, b.whole) AS bigint) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, cast(row_number() OVER w AS integer) AS rank, vec_id AS negative_id,
+  positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -355,6 +387,7 @@ QUERIES = {
     "op9_pieces": op9_pieces,
     "op10_warc": op10_warc,
     "op11_merkle": op11_merkle,
+    "op12_negatives": op12_negatives,
     "op13_tokens": op13_tokens,
 }
 
@@ -364,4 +397,5 @@ ORACLES = {
     "op8_line_dedup": _OP8_SQL,
     "op10_warc": _OP10_SQL,
     "op11_merkle": _op11_sql(),
+    "op12_negatives": _OP12_SQL,
 }

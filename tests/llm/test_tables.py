@@ -34,7 +34,7 @@ def table(spark, name, sf_dir=SF_DIR):
 
 
 def test_names():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(spark_entry.queries())
 
 

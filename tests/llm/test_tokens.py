@@ -1,0 +1,158 @@
+"""Token files against the tokenizer's own library."""
+
+from __future__ import annotations
+
+import os
+import zlib
+from hashlib import sha256
+from pathlib import Path
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from hostpulse.llm.queries import QUERIES
+from hostpulse.llm.tokens import (
+    TextEncoder,
+    checked_ids,
+    encode_texts,
+    pack,
+    rank_ids,
+    read_token_files,
+    token_files,
+    unpack,
+    write_token_files,
+)
+
+SF_DIR = "/root/testdata/sf0.01"
+DOCS = "doc_id bigint, text string"
+WORDS, BYTES = "word_bpe_49k.json", "byte_bpe_50k.json"
+
+
+def library(name):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(public_tokenizers.path(name))
+
+
+@pytest.fixture(scope="module")
+def words():
+    return library(WORDS)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    import public_tokenizers
+
+    return TextEncoder(public_tokenizers.path(WORDS))
+
+
+@given(st.lists(st.integers(0, (1 << 32) - 1), max_size=40))
+def test_code_round_trip(numbers):
+    numbers = np.array(numbers, dtype="<u4")
+    control, data = pack(numbers)
+    assert len(control) == -(-len(numbers) // 4)
+    assert np.array_equal(unpack(control, data, len(numbers)), numbers)
+
+
+def test_code_lengths():
+    edges = np.array([0, 255, 256, 65_535, 65_536, (1 << 24) - 1, 1 << 24, (1 << 32) - 1])
+    control, data = pack(edges)
+    assert control == bytes([0b01010000, 0b11111010]) and len(data) == 1 + 1 + 2 + 2 + 3 + 3 + 4 + 4
+
+
+ALPHABET = "aAzZéßΣσ'’sStT 'reRE'll\n\t\r\x0b\x0c\x1c\x85\xa0 .,<|>&#0123٣数字̸́é🙂_^`~-"
+
+
+@given(st.text(alphabet=ALPHABET, max_size=60))
+@settings(max_examples=400, deadline=None)
+def test_remembered_runs_equal_the_library(words, encoder, text):
+    ids = np.frombuffer(encoder.encode(text), dtype=encoder.dtype)
+    assert ids.tolist() == words.encode(text, add_special_tokens=False).ids
+
+
+def test_special_tokens_inside_runs(words, encoder):
+    for text in ("a<|endoftext|>b", "x <|startoftext|>&y", "<|END|>a", "<|endoftext|>" * 3):
+        ids = np.frombuffer(encoder.encode(text), dtype=encoder.dtype)
+        assert ids.tolist() == words.encode(text, add_special_tokens=False).ids
+
+
+def expected_of(rows, tokenizer, end=1):
+    found, start = [], 0
+    coded = [
+        (doc, np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [end], dtype="<u4"))
+        for doc, text in rows
+    ]
+    width = "<u2"
+    for doc, ids in sorted(
+        coded,
+        key=lambda x: (x[0] is not None, x[0] or 0, sha256(x[1].astype(width).tobytes()).hexdigest()),
+    ):
+        found.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    return found
+
+
+def as_rows(frame):
+    rows = [tuple(row) for row in checked_ids(frame).collect()]
+    return sorted(rows, key=lambda row: row[1])
+
+
+def test_query_against_the_library(spark, words):
+    docs = [tuple(row) for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    found = [tuple(row) for row in QUERIES["op13_tokens"](spark, SF_DIR).orderBy("start").collect()]
+    assert found == expected_of(docs, words)
+
+
+ODD = [
+    (None, None),
+    (None, "no id"),
+    (5, ""),
+    (5, "twice"),
+    (5, "twice"),
+    (-3, "Ünïcode ’s 数字 'LL don't"),
+    (2**62, "<|endoftext|> inside"),
+    (7, "word " * 80_000 + "end"),
+]
+
+
+@pytest.mark.parametrize("model", [WORDS, BYTES])
+def test_odd_rows(spark, model):
+    frame = spark.createDataFrame(ODD, DOCS).repartition(3)
+    frame = frame.withColumns({name: F.lit("x") for name in ("ids", "start", "part", "digest", "copy")})
+    assert as_rows(token_files(frame, model)) == expected_of(ODD, library(model))
+
+
+def test_empty_table(spark, tmp_path):
+    empty = spark.createDataFrame([], DOCS)
+    assert token_files(empty, WORDS, folder=str(tmp_path)).count() == 0
+
+
+def test_files_ascend_and_rank_by_frequency(spark, words, tmp_path):
+    rows = [(doc, f"common common word{doc % 300}") for doc in range(4000)]
+    encoded = encode_texts(spark.createDataFrame(rows, DOCS), WORDS, 1)
+    ranked = rank_ids(encoded, WORDS)
+    counts = np.bincount(np.concatenate([words.encode(text, add_special_tokens=False).ids + [1] for _, text in rows]))
+    order = sorted(np.nonzero(counts)[0], key=lambda id_: (-counts[id_], id_))
+    assert ranked.tolist() == [int(id_) for id_ in order]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files
+    try:
+        files = write_token_files(encoded, str(tmp_path / "ids"), WORDS)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    blocks = files.blocks.orderBy("part", "block").collect()
+    assert {row.file for row in blocks} <= {file.name for file in Path(tmp_path / "ids").iterdir()}
+    read = read_token_files(files)
+    assert as_rows(read) == expected_of(rows, words)
+    by_part, seen = {}, -1
+    for row in read.orderBy("start").collect():
+        assert row.doc_id > seen
+        seen = row.doc_id
+    for row in blocks:
+        by_part[row.part] = by_part.get(row.part, 0) + row.n_ids
+    size = sum(file.stat().st_size for file in Path(tmp_path / "ids").glob("*.bin"))
+    assert len(by_part) > 1 and size < 3 * sum(by_part.values())
