@@ -9,6 +9,7 @@ import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain, tee
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 
 from hostpulse.llm.store import map_rows, scratch, written
 
-_KEPT = 300_000  # runs of text whose ids a worker remembers, of up to _SHORT characters each
-_SHORT = 48
+_SHORT = 48  # characters of the longest text whose ids a worker remembers
+_RUNS, _PARTS = 500_000, 500_000  # how many a worker remembers anew before it forgets old ones
+_GROUP = 1 << 20  # characters of the texts that are encoded together
 _BLOCK_IDS = 1 << 16
 
 
@@ -28,18 +30,54 @@ _BLOCK_IDS = 1 << 16
 
 # Fixed value: the split of a word tokenizer that drops white space.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_GAP = re.compile("[ \n\t\r]+")
+_BLANKS = "\n\t\r"
 _MARKS = r"!-&(-/:-@\[-`{-~"
-# Between an ASCII letter and an ASCII mark that is no apostrophe that split always cuts.
-_EDGE = re.compile(rf"(?<=[A-Za-z])(?=[{_MARKS}])|(?<=[{_MARKS}])(?=[A-Za-z])")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+# Between a Latin letter and an ASCII mark that is no apostrophe that split always cuts.
+_EDGE = re.compile(rf"(?<=[{_LETTERS}])(?=[{_MARKS}])|(?<=[{_MARKS}])(?=[{_LETTERS}])")
+
+
+class _Remembered:
+    """Ids by text in two generations: what is asked for again outlives what is not."""
+
+    def __init__(self, number: int) -> None:
+        self._number = number
+        self._old: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {}
+        self._long: list[str] = []
+
+    def missing(self, texts: Iterable[str]) -> list[str]:
+        """Those of ``texts`` without ids, after the old generation's were taken over."""
+        old, ids, left = self._old, self.ids, []
+        for text in set(texts).difference(ids):
+            known = old.get(text)
+            if known is None:
+                left.append(text)
+            else:
+                ids[text] = known
+        return left
+
+    def add(self, text: str, ids: bytes) -> None:
+        self.ids[text] = ids
+        if len(text) > _SHORT:
+            self._long.append(text)
+
+    def rest(self) -> None:
+        """Forget long texts, and the old generation when the new one is full."""
+        for text in self._long:
+            self.ids.pop(text, None)
+        self._long.clear()
+        if len(self.ids) >= self._number:
+            self._old, self.ids = self.ids, {}
 
 
 class TextEncoder:
     """Ids of a text as the tokenizer's own library gives them, without special tokens added.
 
     A tokenizer that lower-cases, drops white space and splits into words encodes
-    runs of text between blanks each for itself, so a worker remembers their ids;
-    any other tokenizer gets whole texts.
+    runs of text between blanks, and their parts between letters and marks, each for
+    itself: a worker remembers their ids. New parts go to the library together, with
+    a special token between them. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, model: str) -> None:
@@ -48,10 +86,13 @@ class TextEncoder:
         self.library = Tokenizer.from_file(model)
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = "<u2" if self.size <= 1 << 16 else "<u4"
-        self._added = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        added = self.library.get_added_tokens_decoder()
+        self._added = [token.content for token in added.values()]
+        special = [(token.content, id_) for id_, token in added.items() if token.special]
+        self._between = special[0] if special else None
         self._parted = self._splits_at_blanks()
-        self._runs: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._runs = _Remembered(_RUNS)
+        self._parts = _Remembered(_PARTS)
 
     def _splits_at_blanks(self) -> bool:
         told = json.loads(self.library.to_str())
@@ -63,44 +104,77 @@ class TextEncoder:
             and first.get("type") == "Split"
             and first.get("pattern") == {"Regex": _WORDS}
             and (first.get("behavior"), first.get("invert")) == ("Removed", True)
-            and not any(_GAP.search(token) for token in self._added)
+            and not any(set(token) & {" ", *_BLANKS} for token in self._added)
         )
 
     def _library_ids(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def _part_ids(self, part: str) -> bytes:
-        ids = self._parts.get(part)
-        if ids is None:
-            ids = self._library_ids(part)
-            if len(part) <= _SHORT:
-                if len(self._parts) >= _KEPT:
-                    self._parts.clear()
-                self._parts[part] = ids
-        return ids
-
-    def _run_ids(self, run: str) -> bytes:
-        if any(token in run for token in self._added):
-            return self._library_ids(run)
-        ids = b"".join(map(self._part_ids, _EDGE.split(run)))
-        if len(run) <= _SHORT:
-            if len(self._runs) >= _KEPT:
-                self._runs.clear()
-            self._runs[run] = ids
-        return ids
-
-    def encode(self, text: str | None) -> bytes:
-        """Little-endian ids, two bytes each if the vocabulary allows, else four."""
-        if not text:
-            return b""
-        if not self._parted:
-            return self._library_ids(text)
-        known, found = self._runs.get, []
-        for run in _GAP.split(text):
-            ids = known(run)
-            found.append(self._run_ids(run) if ids is None else ids)
-        return b"".join(found)
+    def _learn_parts(self, parts: list[str]) -> None:
+        if self._between is None:
+            for part in parts:
+                self._parts.add(part, self._library_ids(part))
+            return
+        text, mark = self._between
+        ids = self._library_ids(f" {text} ".join(parts))
+        numbers = np.frombuffer(ids, dtype=self.dtype)
+        ends = [*np.nonzero(numbers == mark)[0].tolist(), len(numbers)]
+        if len(ends) != len(parts):
+            raise ValueError("a special token within a part")
+        width, start = numbers.itemsize, 0
+        for part, end in zip(parts, ends):
+            self._parts.add(part, ids[start * width : end * width])
+            start = end + 1
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        joined = " ".join(runs)
+        added = [token for token in self._added if token in joined]
+        whole = [run for run in runs if any(token in run for token in added)] if added else []
+        for run in whole:
+            self._runs.add(run, self._library_ids(run))
+        rest = set(runs).difference(whole)
+        # The tokenizer lower-cases; in plain ASCII Python does so alike.
+        split = {
+            run: _EDGE.split(run.lower() if run.isascii() else run) for run in rest
+        }
+        new = self._parts.missing(chain.from_iterable(split.values()))
+        if new:
+            self._learn_parts(new)
+        ids = self._parts.ids
+        for run, parts in split.items():
+            self._runs.add(run, b"".join([ids[part] for part in parts]))
+        self._parts.rest()
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        split = []
+        for text in texts:
+            for blank in _BLANKS:
+                text = text.replace(blank, " ")
+            split.append(text.split(" "))
+        new = self._runs.missing(chain.from_iterable(split))
+        if new:
+            self._learn_runs(new)
+        known = self._runs.ids.__getitem__
+        found = [b"".join(map(known, runs)) for runs in split]
+        self._runs.rest()
+        return found
+
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Little-endian ids of each text, two bytes each if the vocabulary allows, else four."""
+        held, size = [], 0
+        for text in texts:
+            text = text or ""
+            if not self._parted:
+                yield self._library_ids(text)
+                continue
+            held.append(text)
+            size += len(text)
+            if size >= _GROUP:
+                yield from self._together(held)
+                held, size = [], 0
+        if held:
+            yield from self._together(held)
 
 
 @cache
@@ -122,11 +196,14 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of numbers below 2**32."""
     numbers = numbers.astype("<u4")
-    sizes = 1 + (numbers >= 1 << 8) + (numbers >= 1 << 16) + (numbers >= 1 << 24)
-    used = np.arange(4) < sizes[:, None]
-    data = numbers.view(np.uint8).reshape(-1, 4)[used]
     marks = np.zeros(-(-len(numbers) // 4) * 4, dtype=np.uint8)
-    marks[: len(numbers)] = sizes - 1
+    more = marks[: len(numbers)]  # bytes beyond the first
+    largest, width = int(numbers.max(initial=0)), 1
+    while largest >= 1 << 8 * width:
+        more += numbers >= 1 << 8 * width
+        width += 1
+    used = np.arange(width, dtype=np.uint8) <= more[:, None]
+    data = numbers.view(np.uint8).reshape(-1, 4)[:, :width][used]
     control = (marks.reshape(-1, 4) << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1)
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
@@ -135,11 +212,11 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The numbers again: lengths by table look-up, places by their running sum."""
     sizes = LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:count]
     starts = np.cumsum(sizes) - sizes
-    bytes_ = np.frombuffer(data + b"\0\0\0", dtype=np.uint8).astype(np.uint32)
-    numbers = bytes_[starts]
-    for place in (1, 2, 3):
-        more = sizes > place
-        numbers[more] |= bytes_[starts[more] + place] << np.uint32(8 * place)
+    raw = np.frombuffer(data, dtype=np.uint8)
+    numbers = raw[starts].astype(np.uint32)
+    for place in range(1, int(sizes.max(initial=1))):
+        longer = np.nonzero(sizes > place)[0]
+        numbers[longer] |= raw[starts[longer] + place].astype(np.uint32) << np.uint32(8 * place)
     return numbers
 
 
@@ -188,7 +265,7 @@ def _store(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", folder))
 
 
-_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 _COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 _WRITTEN = pa.schema(
     [
@@ -205,36 +282,40 @@ _READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.bin
 
 
 def encode_texts(docs: DataFrame, model: str, end_id: int) -> DataFrame:
-    """``doc_id`` and little-endian ids (two or four bytes each) of every text and its end."""
+    """``doc_id`` and little-endian ids (two or four bytes each) of every text and its end.
+
+    One more row a partition has no ids but ``counts``: the ids that occur there,
+    and how often, as pairs of 64-bit numbers.
+    """
 
     def rows(found: Iterable[tuple]) -> Iterator[tuple]:
         encoder = _encoder(model)
         end = np.array([end_id], dtype=encoder.dtype).tobytes()
-        for doc_id, text in found:
-            yield doc_id, encoder.encode(text) + end
+        counts = np.zeros(max(encoder.size, end_id + 1), dtype=np.int64)
+        one, two = tee(found)
+        for (doc_id, _), ids in zip(one, encoder.encode(text for _, text in two)):
+            ids += end
+            here = np.bincount(np.frombuffer(ids, dtype=encoder.dtype))
+            counts[: len(here)] += here
+            yield doc_id, ids, None
+        present = np.nonzero(counts)[0]
+        if len(present):
+            yield None, None, np.stack([present, counts[present]], axis=1).astype("<i8").tobytes()
 
     return written(map_rows(docs.select("doc_id", "text"), _ENCODED, rows, batch=200))
 
 
-def rank_ids(encoded: DataFrame, model: str) -> np.ndarray:
+def rank_ids(encoded: DataFrame) -> np.ndarray:
     """All ids that occur, the most frequent first, equal counts by id.
 
-    Counted over all rows: per partition, then per id. The driver gets one row
-    per id of the vocabulary at most.
+    Counted over all rows. The driver gets one row per id of the vocabulary at most.
     """
 
     def rows(found: Iterable[tuple]) -> Iterator[tuple]:
-        encoder = _encoder(model)
-        counts = np.zeros(encoder.size, dtype=np.int64)
-        for (ids,) in found:
-            here = np.bincount(np.frombuffer(ids, dtype=encoder.dtype))
-            if len(here) > len(counts):
-                counts = np.pad(counts, (0, len(here) - len(counts)))
-            counts[: len(here)] += here
-        for place in np.nonzero(counts)[0]:
-            yield int(place), int(counts[place])
+        for (counts,) in found:
+            yield from map(tuple, np.frombuffer(counts, dtype="<i8").reshape(-1, 2).tolist())
 
-    counted = map_rows(encoded.select("ids"), _COUNTS, rows, batch=5000)
+    counted = map_rows(encoded.where("counts IS NOT NULL").select("counts"), _COUNTS, rows, batch=5000)
     total = counted.groupBy("id").agg(F.sum("n").alias("n")).collect()
     return np.array([row.id for row in sorted(total, key=lambda row: (-row.n, row.id))], dtype="<u4")
 
@@ -264,7 +345,7 @@ def write_token_files(encoded: DataFrame, folder: str, model: str) -> TokenFiles
     each begins with the ids by rank. A file's name carries the task's attempt, and
     only files whose tasks ended are in ``blocks``.
     """
-    ranked = rank_ids(encoded, model)
+    ranked = rank_ids(encoded)
     rank_of = np.zeros(int(ranked.max(initial=0)) + 1, dtype=np.uint32)
     rank_of[ranked] = np.arange(len(ranked))
 
@@ -307,8 +388,8 @@ def write_token_files(encoded: DataFrame, folder: str, model: str) -> TokenFiles
 
     # A doc_id that many rows share may span ranges; rows that agree entirely may change places.
     order = ["doc_id", "digest", "copy"]
-    keyed = encoded.withColumns(
-        {"digest": F.sha2("ids", 256), "copy": F.monotonically_increasing_id()}
+    keyed = encoded.where("ids IS NOT NULL").withColumns(
+        {"digest": F.xxhash64("ids"), "copy": F.monotonically_increasing_id()}
     )
     ranges = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
     return TokenFiles(folder, written(map_rows(ranges.select("doc_id", "ids"), _WRITTEN, rows)))
