@@ -15,6 +15,7 @@ from hostpulse.operators.rollups import (
     ip_behaviour,
 )
 from hostpulse.sources.tables import Layers
+from hostpulse.sources.versions import Versions
 
 
 def save_requests(requests: DataFrame, layers: Layers) -> DataFrame:
@@ -47,3 +48,10 @@ def run_batch(lines: DataFrame, layers: Layers, days: int = BASELINE_DAYS) -> La
     layers.save(global_stats(hours), "global_stats")
     layers.save(batch_findings(hours, hosts, endpoints), "anomalies")
     return layers
+
+
+def rebuild(lines: DataFrame, versions: Versions, days: int = BASELINE_DAYS) -> str:
+    """Build all batch layers as a new version; readers change over when it is whole."""
+    with versions.building() as layers:
+        run_batch(lines, layers, days)
+    return versions.name()

@@ -89,6 +89,9 @@ class Layers:
     def path(self, name: str) -> str:
         return f"{self.root}/{_FOLDERS[name]}"
 
+    def paths(self) -> dict[str, str]:
+        return {name: self.path(name) for name in _FOLDERS}
+
     def load(self, name: str) -> DataFrame:
         reader = self.spark.read.format(self.fmt)
         if self.fmt == "parquet":

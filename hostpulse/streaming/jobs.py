@@ -17,6 +17,7 @@ from hostpulse.operators.live import (
 )
 from hostpulse.operators.parsing import parse_lines
 from hostpulse.sources.tables import Layers
+from hostpulse.sources.versions import Versions
 
 LIVE_QUERY = "anomaly_detection_stream"
 
@@ -92,3 +93,25 @@ def run_live(
         layers.fmt,
         partitions,
     )
+
+
+def run_live_versioned(
+    lines: DataFrame,
+    versions: Versions,
+    rules: LiveRules = JOB_RULES,
+    partitions: int | None = None,
+) -> StreamingQuery:
+    """The live job against the published baselines, which stay as they are until it ends.
+
+    A batch build may replace them meanwhile: this run goes on with the version it
+    has pinned, the next one reads the new version.
+    """
+    with versions.pinned() as layers:
+        return append_available(
+            live_stream(lines, layers, rules),
+            versions.live.path("live_anomalies"),
+            versions.live.path("live_checkpoint"),
+            LIVE_QUERY,
+            versions.fmt,
+            partitions,
+        )
