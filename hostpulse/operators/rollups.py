@@ -12,22 +12,26 @@ from pyspark.sql import functions as F
 from hostpulse.functions.measures import fraction, percent, tally
 
 
-def hourly_stats(requests: DataFrame, rolling_rows: int = 3) -> DataFrame:
-    """Traffic per hour with a rolling mean over the present hours.
-
-    The rolling window has no partition key. It sees the finished rollup, one
-    row per calendar hour (8,760 a year) however many requests there are.
-    """
-    per_hour = requests.groupBy(F.date_trunc("hour", "timestamp").alias("hour_bucket")).agg(
+def hour_counts(requests: DataFrame) -> DataFrame:
+    """Counts per hour; counts of disjoint requests add up."""
+    return requests.groupBy(F.date_trunc("hour", "timestamp").alias("hour_bucket")).agg(
         F.count("*").alias("total_requests"),
         F.sum("bytes").alias("total_bytes"),
         tally("status = 404").alias("errors_404"),
         tally("status = 500").alias("errors_500"),
         tally("status BETWEEN 200 AND 299").alias("success_count"),
     )
+
+
+def with_hourly_shares(hours: DataFrame, rolling_rows: int = 3) -> DataFrame:
+    """:func:`hour_counts` with shares and a rolling mean over the present hours.
+
+    The rolling window has no partition key. It sees the finished rollup, one
+    row per calendar hour (8,760 a year) however many requests there are.
+    """
     recent = Window.orderBy("hour_bucket").rowsBetween(1 - rolling_rows, Window.currentRow)
     total = F.col("total_requests")
-    return per_hour.select(
+    return hours.select(
         "*",
         fraction(F.col("errors_404") + F.col("errors_500"), total).alias("error_rate"),
         fraction(F.col("success_count"), total).alias("success_rate"),
@@ -35,13 +39,18 @@ def hourly_stats(requests: DataFrame, rolling_rows: int = 3) -> DataFrame:
     )
 
 
-def host_endpoint(requests: DataFrame) -> DataFrame:
-    """Partial measures per host and endpoint.
+def hourly_stats(requests: DataFrame, rolling_rows: int = 3) -> DataFrame:
+    """Traffic per hour with a rolling mean over the present hours."""
+    return with_hourly_shares(hour_counts(requests), rolling_rows)
+
+
+def host_endpoint(requests: DataFrame, *by: str) -> DataFrame:
+    """Partial measures per host and endpoint, and per what else is named.
 
     Both the host and the endpoint profile follow from this one shuffle of the
     requests, and their distinct counts become plain counts of its rows.
     """
-    return requests.groupBy("host", "endpoint").agg(
+    return requests.groupBy("host", "endpoint", *by).agg(
         F.count("*").alias("hits"),
         F.sum("bytes").alias("bytes_sum"),
         F.count("bytes").alias("bytes_seen"),

@@ -361,6 +361,18 @@ _BODIES = {
     "ip_hourly": """
         select host, date_trunc('hour', "timestamp") as hour_start, count(*) as requests_in_hour
         from silver where "timestamp" is not null group by 1, 2""",
+    "daily_hourly_stats": "select * from hourly_stats",
+    "daily_ip_behaviour": "select * from ip_behaviour",
+    "daily_endpoint_stats": "select * from endpoint_stats",
+    "daily_ip_hourly": """
+        select host, date_trunc('hour', "timestamp") as hour_start, count(*) as requests_in_hour
+        from silver where "timestamp" is not null group by 1, 2""",
+    "daily_traffic": f"""
+        select cast(date_trunc('day', "timestamp") as timestamp) as day,
+            count(*) as total_requests, cast(sum(bytes) as bigint) as total_bytes,
+            {_percent("count(*) filter (status >= 400)", "count(*)")} as error_rate_pct,
+            count(distinct host) as hosts, count(distinct endpoint) as endpoints
+        from silver group by 1""",
     "ip_baselines": "select * from ip_baselines",
     "global_stats": """
         select round(global_mean, 6) as global_mean, round(global_stddev, 6) as global_stddev

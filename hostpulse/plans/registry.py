@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostpulse.functions.rules import EXPLORER_RULES, JOB_RULES, LiveRules
-from hostpulse.operators import anomalies, baselines, live, parsing, rollups, serving
+from hostpulse.operators import anomalies, baselines, daily, live, parsing, rollups, serving
+from hostpulse.plans.daily import DailyParts
 from hostpulse.plans.feed import burst_lines, event_lines
 from hostpulse.plans.workspace import fresh_folder, kept_folder, stored_layers
 from hostpulse.session import pin
@@ -186,6 +187,56 @@ def endpoint_baseline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _settled(stats, *stats.columns)
 
 
+# Rollups kept by the day
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> DailyParts:
+    """Partials of four batches: two spans of days, the second sent twice, a day, and stray lines.
+
+    The stray lines have days that were covered before, or no time.
+    """
+
+    def build(folder: str) -> None:
+        parts, lines = DailyParts(spark, folder), event_lines(spark, sf_dir)
+        day = F.to_date(parsing.event_time())
+        stray = F.substr(F.md5("log"), F.lit(1), F.lit(1)) == "0"
+        dated = lines.where(~stray & day.isNotNull())
+        early, last = F.lit("2024-01-16").cast("date"), F.lit("2024-01-29").cast("date")
+        parts.add(dated.where(day < early), "early")
+        parts.add(dated.where(day.between(early, last)), "middle")
+        parts.add(dated.where(day.between(early, last)), "middle")
+        parts.add(dated.where(day > last), "last-day")
+        parts.add(lines.where(stray | day.isNull()), "stray")
+
+    return DailyParts(spark, kept_folder(spark, sf_dir, "daily", build))
+
+
+@_query
+def daily_hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.hours_of(_daily(spark, sf_dir).load("hours")).orderBy("hour_bucket")
+
+
+@_query
+def daily_ip_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.hosts_of(_daily(spark, sf_dir).load("pairs"))
+
+
+@_query
+def daily_endpoint_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.endpoints_of(_daily(spark, sf_dir).load("pairs"))
+
+
+@_query
+def daily_ip_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.host_hours_of(_daily(spark, sf_dir).load("host_hours"))
+
+
+@_query
+def daily_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    traffic = daily.traffic_by_day(_daily(spark, sf_dir).load("pairs"))
+    return traffic.withColumn("day", F.col("day").cast("timestamp_ntz")).orderBy("day")
+
+
 # Batch scores and findings
 
 
