@@ -6,7 +6,7 @@ effect on a stored table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostpulse.functions.measures import only_row, percent, tally, zscore
@@ -43,6 +43,25 @@ def host_activity(requests: DataFrame) -> DataFrame:
     )
 
 
+def late_rows(whole: DataFrame, emitted: DataFrame, last: Column) -> DataFrame:
+    """Windows that a stream closed without some of their requests, and how many came late.
+
+    ``whole`` is the activity of all requests, ``emitted`` what the stream appended,
+    ``last`` the latest event time. Windows that were still open are left out.
+    """
+    end = F.col("window_start") + F.expr(f"INTERVAL {WINDOW}")
+    closed = whole.where(end <= last - F.expr(f"INTERVAL {WATERMARK}"))
+    key = ["host", "window_start"]
+    counted = emitted.select(*key, F.col("live_requests").alias("counted"))
+    late = F.col("live_requests") - F.coalesce("counted", F.lit(0))
+    return (
+        closed.select(*key, "live_requests")
+        .join(counted, key, "left")
+        .select(*key, late.alias("late_requests"))
+        .where("late_requests > 0")
+    )
+
+
 def sized_for_join(profile: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Mark a stored profile for broadcast if it is measured to be small enough.
 

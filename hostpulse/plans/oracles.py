@@ -242,6 +242,32 @@ _PARTS = {
             from live_silver, unnest([0, 1]) as slides(back)
             where "timestamp" is not null)
         group by host, window_start""",
+    # Lines by the trigger that takes them; a line without a time comes with the first.
+    "live_slices": f"""
+        select log, event_at,
+            dense_rank() over (order by coalesce(slot, first_slot)) - 1 as batch_id
+        from (select *, min(slot) over () as first_slot
+            from (select log, event_at, cast(floor(epoch(event_at) / (3 * 86400)) as bigint)
+                    + case when md5(log) like '0%' then 2 else 0 end as slot
+                from (select log,
+                    try_strptime(nullif(regexp_extract(log, {_PATTERN}, 2), ''),
+                        '%d/%b/%Y:%H:%M:%S %z') at time zone 'UTC' as event_at
+                    from live_lines)))""",
+    "live_batches": """
+        select batch_id, count(*) as input_rows,
+            max(max(event_at)) over (order by batch_id
+                rows between unbounded preceding and 1 preceding) - interval 10 minute as watermark
+        from live_slices group by batch_id""",
+    # Rows are late by the watermark that the trigger before theirs started with.
+    "live_rows": f"""
+        select host, status, window_start,
+            coalesce(window_start + interval 10 minute <= b.watermark, false) as late
+        from (select batch_id, regexp_extract(log, {_PATTERN}, 1) as host,
+                cast(regexp_extract(log, {_PATTERN}, 6) as integer) as status,
+                time_bucket(interval 5 minute, event_at) - to_minutes(cast(5 * back as integer))
+                    as window_start
+            from live_slices, unnest([0, 1]) as slides(back) where event_at is not null) r
+        left join live_batches b on b.batch_id = r.batch_id - 1""",
     "live_enriched": _enriched("expected_hourly_requests"),
     "live_enriched_v2": _enriched("coalesce(expected_hourly_requests, 0)"),
     "live_findings": """
@@ -425,6 +451,18 @@ _BODIES = {
         order by rate_multiplier desc nulls last, window_start, host""",
     "live_activity_stream": f"select * from live_activity where {_CLOSED}",
     "live_anomalies_stream": f"select * from live_findings where {_CLOSED}",
+    "live_activity_bounded": f"""
+        select host, window_start, count(*) as live_requests,
+            count(*) filter (status >= 400) as live_errors,
+            count(*) filter (status = 404) as live_404s,
+            {_percent("count(*) filter (status >= 400)", "count(*)")} as live_error_rate
+        from live_rows where not late and {_CLOSED} group by 1, 2""",
+    "live_late_rows": """
+        select host, window_start, count(*) as late_requests
+        from live_rows where late group by 1, 2""",
+    "live_progress": """
+        select batch_id, input_rows, coalesce(watermark, timestamp '1970-01-01') as watermark,
+            cast(0 as bigint) as unseen from live_batches""",
     "serve_anomalies": "select * from page_findings",
     "serve_hourly": "select * from page_hours",
     "serve_ip": "select * from page_hosts",

@@ -22,7 +22,15 @@ from hostpulse.sources.lines import read_lines, stream_lines
 from hostpulse.sources.tables import Layers, sql_table
 from hostpulse.streaming.jobs import append_available, live_activity as streamed_activity
 from hostpulse.streaming.jobs import live_stream
-from hostpulse.streaming.replay import DAY, feed_in_order, replay_counts, replay_lines
+from hostpulse.streaming.progress import ProgressHistory
+from hostpulse.streaming.replay import (
+    DAY,
+    feed_in_order,
+    replay_counts,
+    replay_lines,
+    slice_of,
+    write_arrivals,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -418,6 +426,58 @@ def live_anomalies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replayed(spark, sf_dir, lambda lines: live_stream(lines, baseline))
 
 
+# Live, as one run of bounded batches, with late lines
+
+
+def _bounded_run(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with what one run of the stream appended, and the history of its batches.
+
+    Lines arrive in slices of three days, one per trigger; a sixteenth of them
+    arrives two slices late.
+    """
+
+    def build(folder: str) -> None:
+        late = F.substr(F.md5("log"), F.lit(1), F.lit(1)) == "0"
+        arrival = slice_of(3 * DAY) + F.when(late, 2).otherwise(0)
+        write_arrivals(burst_lines(spark, sf_dir), f"{folder}/arrivals", arrival)
+        append_available(
+            streamed_activity(stream_lines(spark, f"{folder}/arrivals", max_files_per_trigger=1)),
+            f"{folder}/output",
+            f"{folder}/checkpoint",
+            "bounded",
+            partitions=_width(spark),
+            history=ProgressHistory(spark, f"{folder}/progress"),
+        )
+
+    return kept_folder(spark, sf_dir, "bounded", build)
+
+
+@_query
+def live_activity_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows without the requests that came after the watermark."""
+    return spark.read.parquet(f"{_bounded_run(spark, sf_dir)}/output")
+
+
+@_query
+def live_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emitted = spark.read.parquet(f"{_bounded_run(spark, sf_dir)}/output")
+    requests = parsing.parse_lines(
+        burst_lines(spark, sf_dir), fields=["host", "timestamp", "status"]
+    )
+    last = requests.agg(F.max("timestamp").alias("last")).scalar()
+    return live.late_rows(live.host_activity(requests), emitted, last)
+
+
+@_query
+def live_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and watermark of each batch that had rows."""
+    history = ProgressHistory(spark, f"{_bounded_run(spark, sf_dir)}/progress").table()
+    watermark = F.to_timestamp("watermark")
+    return history.where("input_rows > 0").select(
+        "batch_id", "input_rows", watermark.alias("watermark"), "unseen"
+    )
+
+
 # Reads of an operations view
 
 

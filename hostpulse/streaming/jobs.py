@@ -18,6 +18,7 @@ from hostpulse.operators.live import (
 from hostpulse.operators.parsing import parse_lines
 from hostpulse.sources.tables import Layers
 from hostpulse.sources.versions import Versions
+from hostpulse.streaming.progress import ProgressHistory
 
 LIVE_QUERY = "anomaly_detection_stream"
 
@@ -60,10 +61,13 @@ def append_available(
     name: str | None = None,
     fmt: str = "parquet",
     partitions: int | None = None,
+    history: ProgressHistory | None = None,
 ) -> StreamingQuery:
     """Process everything that has arrived, append the closed windows, and stop.
 
-    Run it again on the same checkpoint to go on where it left off.
+    Run it again on the same checkpoint to go on where it left off. A source that
+    bounds its files per trigger gives several batches in this one run, and the
+    watermark moves on between them. ``history`` records every batch.
     """
     writer = (
         df.writeStream.format(fmt)
@@ -75,7 +79,10 @@ def append_available(
         writer = writer.queryName(name)
     with state_width(df.sparkSession, partitions):
         query = writer.start(path)
-    query.awaitTermination()
+    if history is None:
+        query.awaitTermination()
+    else:
+        history.follow(query)
     return query
 
 

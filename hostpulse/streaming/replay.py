@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hostpulse.operators.parsing import event_time
+from hostpulse.sources.files import Files
 from hostpulse.sources.lines import BLANKS, trimmed
 
 DAY = 86_400
@@ -98,3 +99,47 @@ def feed_in_order(
         stored.where(due).select("log").write.mode("append").text(arrivals)
         run()
     return len(turns)
+
+
+def slice_of(seconds: int = DAY) -> Column:
+    """Number of the calendar slice that a line's event time falls into."""
+    return F.floor(F.unix_seconds(event_time()) / seconds).cast("bigint")
+
+
+def write_arrivals(
+    lines: DataFrame, path: str, arrival: Column, files_per_slice: int = 1
+) -> int:
+    """Text files that a bounded stream takes in order of arrival; returns the number of slices.
+
+    ``arrival`` numbers the slice a line arrives in; gaps are closed, and lines
+    without a number arrive first. Each slice is dealt over ``files_per_slice`` files
+    and sorted by event time in each. A file source takes the oldest files first,
+    so the files' times of change are set in order of the slices, a second apart.
+    With that many files per trigger, each trigger of one run takes one slice; a
+    slice with fewer lines than files leaves some out, and triggers then run ahead.
+
+    One shuffle of the lines; the driver sees the slice numbers and the files' names.
+    """
+    numbered = lines.select("log", arrival.cast("bigint").alias("slot"))
+    numbers = [row["slot"] for row in numbered.select("slot").distinct().collect()]
+    numbers = sorted(number for number in numbers if number is not None)
+    # One row per slice; a scan away from its place among the slices that occur.
+    places = F.create_map(*[F.lit(x) for place, number in enumerate(numbers) for x in (number, place)])
+    place = F.coalesce(F.try_element_at(places, "slot"), F.lit(0)) if numbers else F.lit(0)
+    share = F.pmod(F.xxhash64("log"), F.lit(files_per_slice))
+    part = (place * files_per_slice + share).cast("int")
+    (
+        numbered.select("log", event_time().alias("at"), part.alias("part"))
+        .repartitionById(max(1, len(numbers)) * files_per_slice, "part")
+        .sortWithinPartitions("at", "log")
+        .select("log")
+        .write.mode("overwrite")
+        .text(path)
+    )
+    files = Files(lines.sparkSession)
+    # Part files are named in order of their partitions.
+    parts = [name for name in files.names(path) if name.startswith("part-")]
+    start = files.modified(path) - 1000 * (len(parts) + 1)
+    for order, name in enumerate(parts):
+        files.set_modified(f"{path}/{name}", start + 1000 * order)
+    return max(1, len(numbers))
