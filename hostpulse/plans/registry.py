@@ -63,10 +63,26 @@ def _query(build: Query) -> Query:
     return run
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The told log lines as stored once: a query's work is on lines, not on telling them."""
+    folder = kept_folder(
+        spark, sf_dir, "lines", lambda folder: event_lines(spark, sf_dir).write.parquet(folder)
+    )
+    return spark.read.schema("log string").parquet(folder)
+
+
+def _bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for the live lines."""
+    folder = kept_folder(
+        spark, sf_dir, "bursts", lambda folder: burst_lines(spark, sf_dir).write.parquet(folder)
+    )
+    return spark.read.schema("log string").parquet(folder)
+
+
 def _requests(
     spark: SparkSession, sf_dir: str, fields: Sequence[str] | None = None
 ) -> DataFrame:
-    return parsing.parse_lines(event_lines(spark, sf_dir), fields=fields)
+    return parsing.parse_lines(_lines(spark, sf_dir), fields=fields)
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +97,7 @@ def bronze_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written as compressed text and read back as lines; one copy per state of the table."""
 
     def build(folder: str) -> None:
-        event_lines(spark, sf_dir).write.option("compression", "gzip").text(folder)
+        _lines(spark, sf_dir).write.option("compression", "gzip").text(folder)
 
     return read_lines(spark, kept_folder(spark, sf_dir, "raw", build))
 
@@ -93,7 +109,7 @@ def silver_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def parse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsing.parse_quality(event_lines(spark, sf_dir))
+    return parsing.parse_quality(_lines(spark, sf_dir))
 
 
 @_query
@@ -109,12 +125,12 @@ def status_partition_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def replay_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay_lines(event_lines(spark, sf_dir))
+    return replay_lines(_lines(spark, sf_dir))
 
 
 @_query
 def replay_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay_counts(event_lines(spark, sf_dir))
+    return replay_counts(_lines(spark, sf_dir))
 
 
 @_query
@@ -205,7 +221,7 @@ def _daily(spark: SparkSession, sf_dir: str) -> DailyParts:
     """
 
     def build(folder: str) -> None:
-        parts, lines = DailyParts(spark, folder), event_lines(spark, sf_dir)
+        parts, lines = DailyParts(spark, folder), _lines(spark, sf_dir)
         day = F.to_date(parsing.event_time())
         stray = F.substr(F.md5("log"), F.lit(1), F.lit(1)) == "0"
         dated = lines.where(~stray & day.isNotNull())
@@ -337,7 +353,7 @@ def critical_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return live.host_activity(parsing.parse_lines(burst_lines(spark, sf_dir)))
+    return live.host_activity(parsing.parse_lines(_bursts(spark, sf_dir)))
 
 
 def _live_scores(spark: SparkSession, sf_dir: str, rules: LiveRules) -> DataFrame:
@@ -411,7 +427,7 @@ def _replayed(
             partitions=_width(spark),
         )
 
-    feed_in_order(burst_lines(spark, sf_dir), f"{folder}/staged", arrivals, run, 15 * DAY)
+    feed_in_order(_bursts(spark, sf_dir), f"{folder}/staged", arrivals, run, 15 * DAY)
     return spark.read.parquet(output)
 
 
@@ -439,7 +455,7 @@ def _bounded_run(spark: SparkSession, sf_dir: str) -> str:
     def build(folder: str) -> None:
         late = F.substr(F.md5("log"), F.lit(1), F.lit(1)) == "0"
         arrival = slice_of(3 * DAY) + F.when(late, 2).otherwise(0)
-        write_arrivals(burst_lines(spark, sf_dir), f"{folder}/arrivals", arrival)
+        write_arrivals(_bursts(spark, sf_dir), f"{folder}/arrivals", arrival)
         append_available(
             streamed_activity(stream_lines(spark, f"{folder}/arrivals", max_files_per_trigger=1)),
             f"{folder}/output",
@@ -462,7 +478,7 @@ def live_activity_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def live_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     emitted = spark.read.parquet(f"{_bounded_run(spark, sf_dir)}/output")
     requests = parsing.parse_lines(
-        burst_lines(spark, sf_dir), fields=["host", "timestamp", "status"]
+        _bursts(spark, sf_dir), fields=["host", "timestamp", "status"]
     )
     last = requests.agg(F.max("timestamp").alias("last")).scalar()
     return live.late_rows(live.host_activity(requests), emitted, last)
