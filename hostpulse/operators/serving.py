@@ -11,6 +11,7 @@ given, which is where a caller chooses the range.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -62,6 +63,48 @@ def latest_anomalies(findings: DataFrame, limit: int = 1000) -> DataFrame:
     return _worst_first(findings).limit(limit).select(*LIVE_COLUMNS)
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """Where a page of findings ended: rank, microseconds of the window's start, and host."""
+
+    rank: int
+    start: int | None
+    host: str | None
+
+
+def cursor_after(page: DataFrame) -> Cursor | None:
+    """The cursor behind a page's last row, which is all that reaches the driver; None if empty."""
+    last = (
+        page.select(
+            severity_rank().alias("rank"), F.unix_micros("window_start").alias("start"), "host"
+        )
+        .orderBy(F.desc("rank"), F.asc_nulls_first("start"), F.desc_nulls_last("host"))
+        .first()
+    )
+    return last and Cursor(last["rank"], last["start"], last["host"])
+
+
+def next_anomalies(findings: DataFrame, cursor: Cursor | None, limit: int = 1000) -> DataFrame:
+    """The page of :func:`latest_anomalies` after ``cursor``; None: the first page.
+
+    A filter on the order's own columns and a top-k: pages cost the same however
+    far down they are, and rows that arrive meanwhile shift none. Windows without
+    a start come last in their severity, hosts that are NULL first in their window.
+    A host has one finding per window; rows that share both would end up on one page.
+    """
+    if cursor is None:
+        return latest_anomalies(findings, limit)
+    rank, start = severity_rank(), F.unix_micros("window_start")
+    later_start, same_start = F.lit(False), start.isNull()
+    if cursor.start is not None:
+        later_start, same_start = (start < cursor.start) | start.isNull(), start == cursor.start
+    later_host = F.col("host").isNotNull() if cursor.host is None else F.col("host") > cursor.host
+    beyond = (rank > cursor.rank) | (
+        (rank == cursor.rank) & (later_start | (same_start & later_host))
+    )
+    return latest_anomalies(findings.where(beyond), limit)
+
+
 def latest_hours(hours: DataFrame, limit: int = 168) -> DataFrame:
     """The latest hours, in time order."""
     return hours.orderBy(F.desc("hour_bucket")).limit(limit).orderBy(F.asc_nulls_last("hour_bucket"))

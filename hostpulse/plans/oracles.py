@@ -464,6 +464,9 @@ _BODIES = {
         select batch_id, input_rows, coalesce(watermark, timestamp '1970-01-01') as watermark,
             cast(0 as bigint) as unseen from live_batches""",
     "serve_anomalies": "select * from page_findings",
+    "serve_anomalies_next": f"""
+        select * from live_findings
+        order by {_RANK}, window_start desc, host limit 1000 offset 1000""",
     "serve_hourly": "select * from page_hours",
     "serve_ip": "select * from page_hosts",
     "serve_endpoint": "select * from page_endpoints",

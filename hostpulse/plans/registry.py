@@ -522,6 +522,13 @@ def serve_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_of_findings(spark, sf_dir)
 
 
+@_query
+def serve_anomalies_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page behind the first one, found by that page's last row."""
+    cursor = serving.cursor_after(_page_of_findings(spark, sf_dir))
+    return serving.next_anomalies(_findings(spark, sf_dir), cursor)
+
+
 @_query
 def serve_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_of_hours(spark, sf_dir)

@@ -178,3 +178,31 @@ def test_host_reads(spark):
     ]
     assert [r["host"] for r in serving.ip_top_volume(table, 2).collect()] == ["c", "a"]
     assert serving.ip_fleet_summary(table).first()["avg_requests"] == 5.0
+
+
+def test_all_pages_together_are_the_sorted_table(spark):
+    levels = ("LOW", "HIGH", "CRITICAL", "MEDIUM", "odd", None)
+    rows = [(f"h{n % 7}", n // 7, levels[n % 6 if n % 5 else 0], "A") for n in range(150) if n // 7 < 24]
+    frame = findings(spark, *rows)
+    nulls = frame.limit(9).withColumn("window_start", serving.F.lit(None).cast("timestamp"))
+    hostless = frame.limit(9).withColumn("host", serving.F.lit(None).cast("string"))
+    whole = frame.union(nulls).union(hostless).dropDuplicates(["host", "window_start"])
+    expected = [tuple(row) for row in serving.latest_anomalies(whole, 1000).collect()]
+    for size in (1000, 40, 7):
+        found, cursor = [], None
+        while True:
+            page = serving.next_anomalies(whole, cursor, size)
+            rows = [tuple(row) for row in page.collect()]
+            found += rows
+            if len(rows) < size:
+                break
+            cursor = serving.cursor_after(page)
+        assert found == expected
+    plan = serving.next_anomalies(whole, cursor, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Offset" not in plan
+
+
+def test_no_page_after_an_empty_one(spark):
+    empty = findings(spark, ("h", 1, "LOW", "A")).limit(0)
+    assert serving.cursor_after(empty) is None
+    assert serving.next_anomalies(empty, serving.Cursor(1, None, None)).count() == 0
