@@ -87,6 +87,43 @@ def fit_quantiser(
     return Quantiser(coarse, np.stack(words))
 
 
+@dataclass(frozen=True)
+class Shelf:
+    """The quantiser of one width, whose cells are numbered from ``first`` on."""
+
+    first: int
+    quantiser: Quantiser
+
+
+def _shelves(
+    distinct: DataFrame, sample_rows: int, cell_rows: int, max_cells: int
+) -> dict[int, Shelf]:
+    """A quantiser per width; the sample is shared by all widths, by their numbers of vectors.
+
+    A width with no vector in the sample has a single cell around zero.
+    """
+    counted = distinct.groupBy(F.size("unit").alias("width")).agg(F.count("*").alias("n")).collect()
+    sizes = {row.width: row.n for row in counted}
+    share = min(1.0, sample_rows / max(1, sum(sizes.values())))
+    sample = (
+        distinct.where(F.pmod("check", F.lit(1_000_000)) < max(1, math.ceil(share * 1_000_000)))
+        .orderBy("hash", "check")
+        .limit(2 * sample_rows)
+        .select("unit")
+        .collect()
+    )
+    points: dict[int, list[list[float]]] = {width: [] for width in sizes}
+    for row in sample:
+        points[len(row.unit)].append(row.unit)
+    shelves, first = {}, 0
+    for width, n in sorted(sizes.items()):
+        cells = min(max_cells, math.ceil(n / cell_rows))
+        quantiser = fit_quantiser(np.array(points[width] or [[0.0] * width]), cells)
+        shelves[width] = Shelf(first, quantiser)
+        first += len(quantiser.cells)
+    return shelves
+
+
 def local_roots(count: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """For each of ``count`` nodes the smallest node it reaches over the links ``one``-``two``."""
     roots = np.arange(count)
@@ -117,15 +154,17 @@ _CODED = pa.schema(
 _FOUND = "node bigint, links bigint, root bigint"
 
 
-def _coded(distinct: DataFrame, quantiser: Quantiser, probes: int) -> DataFrame:
+def _coded(distinct: DataFrame, shelves: dict[int, Shelf], probes: int) -> DataFrame:
     def rows(found: Iterable[tuple]) -> Iterator[tuple]:
         block: list[tuple] = []
 
-        def done() -> Iterator[tuple]:
-            units = np.array([row[2] for row in block], dtype=np.float64)
+        def coded(width: int, some: list[tuple]) -> Iterator[tuple]:
+            shelf = shelves[width]
+            quantiser = shelf.quantiser
+            units = np.array([row[2] for row in some], dtype=np.float64)
             near = _assigned(units, quantiser.cells, min(probes, len(quantiser.cells)))
             codes, error = quantiser.encode(units, near[:, 0])
-            for row, unit, probed, code, off in zip(block, units, near, codes, error):
+            for row, unit, probed, code, off in zip(some, units, near + shelf.first, codes, error):
                 yield (
                     row[0],
                     row[1],
@@ -136,6 +175,13 @@ def _coded(distinct: DataFrame, quantiser: Quantiser, probes: int) -> DataFrame:
                     float(off),
                 )
 
+        def done() -> Iterator[tuple]:
+            widths: dict[int, list[tuple]] = {}
+            for row in block:
+                widths.setdefault(len(row[2]), []).append(row)
+            for width, some in widths.items():
+                yield from coded(width, some)
+
         for row in found:
             block.append(row)
             if len(block) == BLOCK:
@@ -147,7 +193,7 @@ def _coded(distinct: DataFrame, quantiser: Quantiser, probes: int) -> DataFrame:
     return written(map_rows(distinct, _CODED, rows))
 
 
-def _linked(pairs: DataFrame, quantiser: Quantiser, cosine: float) -> DataFrame:
+def _linked(pairs: DataFrame, shelves: dict[int, Shelf], cosine: float) -> DataFrame:
     """Per vector and pair of blocks its links found there, and the smallest node they reach.
 
     A pair that both of its vectors find, each in the other's cell, counts where
@@ -164,7 +210,8 @@ def _linked(pairs: DataFrame, quantiser: Quantiser, cosine: float) -> DataFrame:
         cell = int(group["at"].iloc[0])
         queries = np.stack(asking["unit"].to_list())
         vectors = np.stack(listed["unit"].to_list())
-        far = quantiser.distances(queries, cell, np.stack(listed["codes"].to_list()))
+        shelf = shelves[queries.shape[1]]
+        far = shelf.quantiser.distances(queries, cell - shelf.first, np.stack(listed["codes"].to_list()))
         # The look-up is off by no more than the distance of a vector from its codes.
         within = reach + listed["error"].to_numpy() + 1e-6
         one, two = np.nonzero(far <= (within**2)[None, :])
@@ -208,9 +255,11 @@ def near_vectors(
     ``component_id`` is the smallest ``vec_id`` reachable, itself included, and
     ``kept`` says whether it is the row's own.
 
-    Equal vectors are one node with a number of copies. The quantiser is fitted
-    on about ``sample_rows`` nodes, chosen by a hash of their id: a cell for every
-    ``cell_rows`` nodes, ``max_cells`` at most. Every node is coded, and asks in its
+    Equal vectors are one node with a number of copies. Vectors of different
+    lengths don't link; each length has a quantiser and cells of its own, and the
+    driver holds a row per length. The quantisers are fitted on about
+    ``sample_rows`` nodes in all, chosen by a hash of the vector: a cell for every
+    ``cell_rows`` nodes of a length, ``max_cells`` at most. Every node is coded, and asks in its
     ``probes`` nearest cells. A cell is searched in pairs of blocks of about
     ``BLOCK`` vectors, however many it holds. Table look-up passes all pairs whose
     distance can reach the limit, given how far a vector is from its codes, and
@@ -218,8 +267,8 @@ def near_vectors(
     the other's cell. A task returns counts and the smallest node each vector
     reaches in its blocks, never the pairs.
 
-    A null embedding, a null or non-finite component, a length other than the
-    most common one, and a zero vector link with nothing. Rows that repeat a
+    A null embedding, a null or non-finite component, an empty and a zero vector
+    link with nothing; a length that few vectors have is a length like any other. Rows that repeat a
     ``vec_id`` with the same vector are linked like other equal vectors. A null
     ``vec_id`` links with nothing and has a null ``component_id`` and ``kept``.
     Other columns are not read; an empty table gives no rows.
@@ -240,16 +289,10 @@ def near_vectors(
         usable.select(
             "vec_id",
             "unit",
-            F.size("unit").alias("width"),
             F.xxhash64("unit").alias("hash"),
             F.xxhash64(F.lit("unit"), "unit").alias("check"),
         )
     )
-    common = usable.groupBy("width").count().orderBy(F.desc("count"), "width").first()
-    plain = rows.select("vec_id").withColumn("n_links", F.lit(0).cast("bigint"))
-    if common is None:
-        return _answer(plain.withColumn("component_id", F.col("vec_id")))
-    usable = usable.where(F.col("width") == common.width)
     distinct = written(
         usable.groupBy("hash", "check").agg(
             F.min("vec_id").alias("node"),
@@ -257,21 +300,10 @@ def near_vectors(
             F.first("unit").alias("unit"),
         )
     )
-    total = distinct.count()
-    share = min(1.0, sample_rows / total)
-    sample = (
-        distinct.where(F.pmod("check", F.lit(1_000_000)) < max(1, math.ceil(share * 1_000_000)))
-        .orderBy("hash", "check")
-        .limit(2 * sample_rows)
-        .select("unit")
-        .collect()
-    )
-    points = np.array([row.unit for row in sample] or [[0.0] * common.width])
-    cells = min(max_cells, max(1, math.ceil(total / cell_rows)))
-    quantiser = fit_quantiser(points, cells)
-    coded = _coded(distinct.select("node", "copies", "unit"), quantiser, probes)
+    shelves = _shelves(distinct, sample_rows, cell_rows, max_cells)
+    coded = _coded(distinct.select("node", "copies", "unit"), shelves, probes)
     blocks = _blocks(coded)
-    linked = written(_linked(_block_pairs(coded, blocks), quantiser, cosine))
+    linked = written(_linked(_block_pairs(coded, blocks), shelves, cosine))
     roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     found = linked.groupBy("node").agg(F.sum("links").alias("links"))
     nodes = distinct.select("hash", "check", "node", "copies").join(found, "node", "left")
@@ -295,7 +327,7 @@ def near_vectors(
     part = (
         F.col("vec_id").isNotNull()
         & F.coalesce(finite, F.lit(False))
-        & (F.size("vector") == common.width)
+        & (F.size("vector") > 0)
         & (F.coalesce(largest, F.lit(0.0)) > 0)
     )
     apart = rows.where(~part).select(

@@ -9,6 +9,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
@@ -224,6 +225,27 @@ def test_vectors_in_small_blocks(spark, monkeypatch):
     assert {row.vec_id: row.component_id for row in found} == groups
 
 
+def test_vectors_of_several_lengths(spark):
+    random = np.random.default_rng(11)
+    rows = []
+    for number in range(600):
+        width = (24, 24, 32, 7)[number % 4]
+        centre = np.random.default_rng([number % 20, width]).normal(size=width)
+        rows.append((number, np.float32(centre + 0.25 * random.normal(size=width)).tolist()))
+    rows += [(600, [3.0, 4.0, 0.0]), (601, [6.0, 8.0, 0.0]), (602, [0.5]), (603, [2.0]), (604, [-2.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    links, groups = {}, {}
+    for width in (1, 3, 7, 24, 32):
+        own_links, own_groups = brute([row for row in rows if len(row[1]) == width])
+        links |= own_links
+        groups |= own_groups
+    # The second quantisers see few vectors: lengths without any in the sample have one cell.
+    for settings in ({}, {"sample_rows": 40}):
+        found = near_vectors(frame, **settings).collect()
+        assert {row.vec_id: row.n_links for row in found} == links
+        assert {row.vec_id: row.component_id for row in found} == groups
+
+
 def test_vectors_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
@@ -240,10 +262,13 @@ def test_vectors_odd_rows(spark):
         (10, [1e-38, 0.0]),
         (2, [2.0, 0.0]),
         (11, [-1.0, 0.0]),
+        (12, [2.0, 0.0, 0.0]),
     ]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    frame = frame.withColumns({name: F.lit("x") for name in ("node", "unit", "hash", "cell", "copies")})
     found = sorted(map(tuple, near_vectors(frame).collect()), key=repr)
-    alone = [(n, 0, n, True) for n in (3, 4, 5, 6, 7, 8, 9, 11)]
+    alone = [(n, 0, n, True) for n in (3, 4, 5, 6, 7, 8, 11)]
+    alone += [(9, 1, 9, True), (12, 1, 9, False)]
     linked = [(1, 3, 1, True), (10, 3, 1, False), (2, 3, 1, False), (2, 3, 1, False)]
     assert found == sorted([*alone, *linked, (None, 0, None, None)], key=repr)
     assert near_vectors(frame.limit(0)).count() == 0
