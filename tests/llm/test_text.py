@@ -302,15 +302,51 @@ def test_leaks_odd_rows_and_blocks(spark, empty):
         + [(4, "two words", "x"), (5, "A, B, c d e f g h!", "x"), (6, "was " * 30_000, "x")],
         DOCS + ", item_id string",
     )
-    expected = [(1, 3, 0), (5, None, 0), (None, 3, 0)]
+    expected = [(1, 3, 0), (4, 92, 0), (5, None, 0), (None, 3, 0)]
     for blocks in ({}, {"block_items": 10}):
         leaks = find_leaks(docs, table, **blocks).collect()
         assert sorted(((r.doc_id, r.item_id, r.edits) for r in leaks), key=repr) == expected
         rest = without_leaks(docs, table, **blocks)
-        assert sorted(row.doc_id for row in rest.collect()) == [2, 3, 4, 6]
+        assert sorted(row.doc_id for row in rest.collect()) == [2, 3, 6]
     assert find_leaks(empty, table).count() == find_leaks(docs, table.limit(0)).count() == 0
 
 
+def test_leaks_of_short_items_and_of_scripts_without_spaces(spark):
+    items = [
+        (1, "Two words"),
+        (2, "words, two more?"),
+        (3, "\u3053\u306e\u6587\u7ae0\u306f\u8a66\u9a13\u306e\u554f\u984c\u3067\u3059\u304b"),
+        (4, "\u6f22\u5b57"),
+        (5, "solo"),
+        (6, "..."),
+        (7, "TWO WORDS"),
+    ]
+    texts = [
+        (1, "no two; WORDS two more"),
+        (2, "two new words"),
+        (3, "x" + items[2][1] + "y"),
+        (4, "x " + items[2][1].replace("\u7ae0", "\u5b57") + " y"),
+        (5, "\u5b57\u6f22 \u6f22\u3001\u5b57"),
+        (6, "soloist two wordsmith"),
+        (7, "a " * 20_000 + "solo"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): (r.edits, r.end_word) for r in find_leaks(docs, table).collect()}
+    words = {key: words_of(text) for key, text in texts}
+    brute = {
+        (doc_id, item_id): (0, min(ends))
+        for doc_id, read in words.items()
+        for item_id, text in items
+        if 0 < len(item := words_of(text)) < 5
+        and (ends := [k + len(item) for k in range(len(read)) if read[k : k + len(item)] == item])
+    }
+    assert brute == {pair: at for pair, at in found.items() if pair[1] != 3}
+    assert set(brute) == {(1, 1), (1, 2), (1, 7), (5, 4), (7, 5)}
+    assert {pair: at[0] for pair, at in found.items() if pair[1] == 3} == {(3, 3): 0, (4, 3): 1}
+    assert [row.doc_id for row in without_leaks(docs, table).orderBy("doc_id").collect()] == [2, 6]
+
+
 # Pieces
 
 
