@@ -2,8 +2,9 @@
 
 ``latest_*`` and ``top_*`` fetch a page of a stored table, by a top-k that keeps
 only the page. The measures below them take the whole table: what they compare a
-row with (a total, a quartile, a smallest and largest value) is a one-row table
-of its own and enters as a scalar subquery, so no window spans the table. A
+row with (a total, a smallest and largest value) is a one-row table of its own and
+enters as a scalar subquery, so no window spans the table; a quartile is selected
+first, by scans. A
 ``limit`` is always the last step. The reads over hours take the hours they are
 given, which is where a caller chooses the range.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from hostpulse.functions.measures import tally
 from hostpulse.functions.rules import SEVERITIES, band, severity_rank
+from hostpulse.operators.quantiles import exact_quantiles
 
 LIVE_COLUMNS = (
     "host",
@@ -342,14 +344,13 @@ def _error_band(column: str) -> Column:
 def ip_risk_quadrant(hosts: DataFrame) -> DataFrame:
     """Risk class of every host; busy means above the upper quartile of all.
 
-    The quartile is taken over request counts and how many hosts have them, and
-    there are far fewer different counts than hosts.
+    The quartile is exact and found by scans of the stored ``hosts`` now; the classes
+    are a query to run.
     """
-    counts = hosts.groupBy("total_requests").agg(F.count("*").alias("hosts"))
-    quartile = counts.agg(F.percentile("total_requests", 0.75, F.col("hosts")).alias("q75")).scalar()
+    (quartile,) = exact_quantiles(hosts, "total_requests", [0.75])
     busy = F.col("total_requests") > F.col("q75")
     errors = F.col("error_rate_pct")
-    return hosts.withColumn("q75", quartile).select(
+    return hosts.withColumn("q75", F.lit(quartile).cast("double")).select(
         "host",
         "total_requests",
         "error_rate_pct",

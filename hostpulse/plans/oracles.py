@@ -550,6 +550,14 @@ _BODIES = {
                  when error_rate_pct > 10 then 'HIGH ERROR' else 'NORMAL' end as risk
         from (select *, quantile_cont(cast(total_requests as double), 0.75) over () as q75
             from ip_behaviour)""",
+    "ip_quantiles": """
+        select measure, unnest([0.0, 0.25, 0.5, 0.75, 0.99, 1.0])::double as share,
+            round(unnest(quantile_cont(number, [0.0, 0.25, 0.5, 0.75, 0.99, 1.0])), 6) as value
+        from (select 'total_requests' as measure, cast(total_requests as double) as number from ip_behaviour
+            union all select 'error_rate_pct', error_rate_pct from ip_behaviour
+            union all select 'total_bytes_transferred', cast(total_bytes_transferred as double)
+                from ip_behaviour)
+        group by measure""",
     "ip_top_volume": "select host, total_requests from shown_hosts",
     "ip_top_error": """
         select host, error_rate_pct, case when error_rate_pct > 10 then 'RED'

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from hostpulse.functions.rules import EXPLORER_RULES, JOB_RULES, LiveRules
 from hostpulse.operators import anomalies, baselines, daily, live, parsing, rollups, serving
+from hostpulse.operators.quantiles import quantile_table
 from hostpulse.plans.daily import DailyParts
 from hostpulse.plans.feed import burst_lines, event_lines
 from hostpulse.plans.workspace import fresh_folder, kept_folder, stored_layers
@@ -641,6 +642,14 @@ def ip_risk_quadrant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.ip_risk_quadrant(_hosts(spark, sf_dir))
 
 
+@_query
+def ip_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of what hosts ask for, by histograms of the stored profile."""
+    measures = ["total_requests", "error_rate_pct", "total_bytes_transferred"]
+    table = quantile_table(_hosts(spark, sf_dir), measures, [0.0, 0.25, 0.5, 0.75, 0.99, 1.0])
+    return _settled(table, "value")
+
+
 @_query
 def ip_top_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.ip_top_volume(_hosts(spark, sf_dir))
