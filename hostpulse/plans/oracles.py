@@ -440,6 +440,7 @@ _BODIES = {
             endpoint nulls first, detected_at nulls first""",
     "live_activity": "select * from live_activity",
     "live_enriched": "select * from live_enriched",
+    "live_enriched_bucketed": "select * from live_enriched",
     "live_anomalies": "select * from live_findings",
     "live_enriched_v2": "select * from live_enriched_v2",
     "live_anomalies_v2": "select * from live_findings_v2",

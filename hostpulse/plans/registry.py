@@ -19,8 +19,9 @@ from hostpulse.plans.daily import DailyParts
 from hostpulse.plans.feed import burst_lines, event_lines
 from hostpulse.plans.workspace import fresh_folder, kept_folder, stored_layers
 from hostpulse.session import pin
+from hostpulse.sources.buckets import BucketedTable
 from hostpulse.sources.lines import read_lines, stream_lines
-from hostpulse.sources.tables import Layers, sql_table
+from hostpulse.sources.tables import Layers, schema_of, sql_table
 from hostpulse.streaming.jobs import append_available, live_activity as streamed_activity
 from hostpulse.streaming.jobs import live_stream
 from hostpulse.streaming.progress import ProgressHistory
@@ -374,6 +375,23 @@ def live_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _live_scores(spark, sf_dir, JOB_RULES)
 
 
+@_query
+def live_enriched_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a profile stored by host and never broadcast, which the join does not shuffle."""
+    layers = stored_layers(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def stored(folder: str) -> BucketedTable:
+        return BucketedTable(spark, folder, "host", buckets)
+
+    baselines = layers.load("ip_baselines")
+    folder = kept_folder(
+        spark, sf_dir, f"profile-{buckets}", lambda folder: stored(folder).write(baselines)
+    )
+    profile = stored(folder).open(schema_of("ip_baselines")).hint("merge")
+    return live.against_baseline(_activity(spark, sf_dir), profile, layers.load("global_stats"))
+
+
 @_query
 def live_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.live_findings(_live_scores(spark, sf_dir, JOB_RULES), JOB_RULES)

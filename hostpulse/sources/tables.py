@@ -69,6 +69,11 @@ _SCHEMAS = {
 }
 
 
+def schema_of(name: str) -> str:
+    """The declared columns of a layer."""
+    return _SCHEMAS[name]
+
+
 def table_at(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

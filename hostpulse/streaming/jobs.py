@@ -27,12 +27,19 @@ def live_activity(lines: DataFrame) -> DataFrame:
     return host_activity(parse_lines(lines, fields=["host", "timestamp", "status"]))
 
 
-def live_stream(lines: DataFrame, layers: Layers, rules: LiveRules = JOB_RULES) -> DataFrame:
+def live_stream(
+    lines: DataFrame,
+    layers: Layers,
+    rules: LiveRules = JOB_RULES,
+    profile: DataFrame | None = None,
+) -> DataFrame:
     """Findings over live lines, against the stored baseline layers.
 
-    The baselines are read anew by each run of the job.
+    The baselines are read anew by each run of the job. A host profile too large to
+    broadcast is best stored by host (:class:`~hostpulse.sources.buckets.BucketedTable`)
+    and given as ``profile``: then no batch shuffles it.
     """
-    profile = sized_for_join(layers.load("ip_baselines"))
+    profile = sized_for_join(layers.load("ip_baselines") if profile is None else profile)
     scored = against_baseline(live_activity(lines), profile, layers.load("global_stats"), rules)
     return live_findings(scored, rules)
 
