@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from hostpulse.functions.measures import fraction, percent, tally
 
 
-def hour_counts(requests: DataFrame) -> DataFrame:
-    """Counts per hour; counts of disjoint requests add up."""
-    return requests.groupBy(F.date_trunc("hour", "timestamp").alias("hour_bucket")).agg(
+def clock_counts(requests: DataFrame, unit: str) -> DataFrame:
+    """Counts per hour, minute or other unit; counts of disjoint requests add up."""
+    return requests.groupBy(F.date_trunc(unit, "timestamp").alias(f"{unit}_bucket")).agg(
         F.count("*").alias("total_requests"),
         F.sum("bytes").alias("total_bytes"),
         tally("status = 404").alias("errors_404"),
@@ -23,6 +23,10 @@ def hour_counts(requests: DataFrame) -> DataFrame:
     )
 
 
+def hour_counts(requests: DataFrame) -> DataFrame:
+    return clock_counts(requests, "hour")
+
+
 def with_hourly_shares(hours: DataFrame, rolling_rows: int = 3) -> DataFrame:
     """:func:`hour_counts` with shares and a rolling mean over the present hours.
 

@@ -412,6 +412,22 @@ _BODIES = {
     "hourly_baseline": _norms("hour_norms", "global_", "requests", "error_rate", "bytes"),
     "ip_baseline_stats": _norms("ip_norms", "", "requests", "error_rate", "endpoints", "bytes"),
     "endpoint_baseline_stats": _norms("endpoint_norms", "", "404", "bytes", "hits"),
+    "minute_stats": f"""
+        select * exclude (rolling, change), {_rounded("rolling", 2)} as rolling_avg_requests,
+            round(change, 6) as request_change_pct
+        from (select *, coalesce((total_requests - prev_requests) / prev_requests * 100, 0.0) as change
+            from (select *, avg(total_requests) over (clock rows between 4 preceding and current row)
+                    as rolling, lag(total_requests) over clock as prev_requests
+                from (select date_trunc('minute', "timestamp") as minute_bucket,
+                        count(*) as total_requests, cast(sum(bytes) as bigint) as total_bytes,
+                        count(*) filter (status = 404) as errors_404,
+                        count(*) filter (status = 500) as errors_500,
+                        count(*) filter (status between 200 and 299) as success_count,
+                        {_share("count(*) filter (status in (404, 500))", "count(*)")} as error_rate,
+                        {_share("count(*) filter (status between 200 and 299)", "count(*)")}
+                            as success_rate
+                    from silver group by 1)
+                window clock as (order by minute_bucket nulls first)))""",
     "hourly_lag_change": f"""
         select * {_six("request_change_pct", "error_rate_change_pct")} from hour_changes""",
     "hourly_zscores": """
@@ -504,6 +520,16 @@ _BODIES = {
         select 'severity', severity, cast(row_number() over (order by {_RANK}) as integer)
         from (select distinct severity from live_findings)""",
     "anomaly_search": "select * from found",
+    "anomaly_host_search": " union all ".join(
+        f"""select '{wanted}' as wanted, {indexed} as indexed, host, window_start, anomaly_type, severity
+            from live_findings where {test}"""
+        for wanted, indexed, test in (
+            ("HOST1", "true", "contains(lower(host), 'host1')"),
+            ("host1[0-9]+-3", "true", "regexp_matches(host, '(?i)host1[0-9]+-3')"),
+            ("(poll|crawl)er", "false", "regexp_matches(host, '(?i)(poll|crawl)er')"),
+            ("r.?$", "false", "regexp_matches(host, '(?i)r.?$')"),
+        )
+    ),
     "anomaly_search_tiles": """
         select count(*) as showing, count(*) filter (severity = 'CRITICAL') as critical,
             count(*) filter (severity = 'HIGH') as high,

@@ -7,14 +7,16 @@ use the stored ones (:func:`hostpulse.plans.workspace.stored_layers`).
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostpulse.functions.rules import EXPLORER_RULES, JOB_RULES, LiveRules
 from hostpulse.operators import anomalies, baselines, daily, live, parsing, rollups, serving
+from hostpulse.operators.clock import clock_stats
 from hostpulse.operators.quantiles import quantile_table
+from hostpulse.operators.textindex import TextIndex, needed_grams, search
 from hostpulse.plans.daily import DailyParts
 from hostpulse.plans.feed import burst_lines, event_lines
 from hostpulse.plans.workspace import fresh_folder, kept_folder, stored_layers
@@ -158,6 +160,14 @@ def hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.hourly_stats(_requests(spark, sf_dir)).orderBy("hour_bucket")
 
 
+@_query
+def minute_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic per minute beside the minutes before it, put in order range by range."""
+    requests = _requests(spark, sf_dir, ["timestamp", "status", "bytes"])
+    stats = clock_stats(requests, "minute", f"{fresh_folder(spark)}/minutes", rolling_rows=5)
+    return _settled(stats, "request_change_pct")
+
+
 @_query
 def ip_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.ip_behaviour(_pairs(spark, sf_dir)).orderBy(F.desc("total_requests"), "host")
@@ -607,6 +617,31 @@ def anomaly_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir)
 
 
+# Text and whether it is literal; the last two leave the index nothing to go by.
+HOST_SEARCHES = (("HOST1", True), ("host1[0-9]+-3", False), ("(poll|crawl)er", False), ("r.?$", False))
+
+
+@_query
+def anomaly_host_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of hosts by parts of their names, from an index of those parts where it helps."""
+    table = _findings(spark, sf_dir)
+    index = TextIndex(
+        spark, kept_folder(spark, sf_dir, "hosts", lambda to: TextIndex(spark, to).build(table, "host"))
+    )
+    found = [
+        search(table, "host", index, wanted, literal).select(
+            F.lit(wanted).alias("wanted"),
+            F.lit(bool(needed_grams(wanted, literal))).alias("indexed"),
+            "host",
+            "window_start",
+            "anomaly_type",
+            "severity",
+        )
+        for wanted, literal in HOST_SEARCHES
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @_query
 def anomaly_search_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.severity_tiles(_search(spark, sf_dir))

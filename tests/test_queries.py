@@ -157,3 +157,12 @@ def test_told_lines_reach_the_rules():
         "ERROR_SURGE",
         "SUDDEN_HOH_JUMP",
     } <= set(found["anomaly_type"])
+
+
+def test_counts_read_no_column(spark):
+    """Row counts come from the files' footers: the scans ask for no column."""
+    for name in ("layer_counts", "serve_kpi"):
+        plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<>" in plan
+        if name == "layer_counts":
+            assert plan.count("ReadSchema: struct<>") == plan.count("ReadSchema:")
