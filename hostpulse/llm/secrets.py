@@ -27,11 +27,20 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 
-# The possessive parts keep a header without an end, before a long run of blanks, linear.
+# What may stand between the lines of a key: breaks, also escaped ones, and marks of quotation.
+_BREAK = r"""(?:\\[nr]|[\s>|#*"',])"""
+# The possessive parts keep a header without an end, before a long run of blanks, linear, and
+# a line of headers never runs into the next mark.
 _PEM = re.compile(
-    r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----\s*+((?:[A-Za-z-]+: [^\n]*\n)*+)"
-    r"([A-Za-z0-9+/=\s]++)-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"
+    r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----" + _BREAK + r"*+"
+    r"((?:[A-Za-z][A-Za-z-]*+: (?:(?!-----)[^\n\\])*+(?:\n|\\[nr])" + _BREAK + r"*+)*+)"
+    r"""([A-Za-z0-9+/=\s\\>|#*"',]++)-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"""
 )
+_CONCATENATED = re.compile(r"""(?:^|["'])\s*+\+\s*+["']""")  # the first quote may lie before the body
+_BETWEEN = re.compile(_BREAK + r"++")
+_CIPHER = re.compile(r"DEK-Info: [A-Z0-9-]+,([0-9A-Fa-f]+)")
+_NEXT_LINE = re.compile(_BREAK + r"++([A-Za-z0-9+/]++={0,2})")
+_WRAPPED_BYTES = 1 << 16  # no private key is longer; bounds the lines joined from one start
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){30,}(?![0-9A-Fa-f])")
 _TOKEN = re.compile(
@@ -40,6 +49,7 @@ _TOKEN = re.compile(
 
 _SEQUENCE, _INTEGER, _OCTETS, _OID = 0x30, 0x02, 0x04, 0x06
 _OPENSSH = b"openssh-key-v1\0"
+_OPENSSH_BASE64 = base64.b64encode(_OPENSSH).decode()
 
 
 def _decoded(run: str) -> bytes | None:
@@ -112,22 +122,126 @@ def is_signed_token(header: str, claims: str) -> bool:
     return all(isinstance(part, dict) for part in parsed) and isinstance(parsed[0].get("alg"), str)
 
 
+def is_encrypted_body(headers: str, data: bytes) -> bool:
+    """Whether the headers name a cipher and its start value, whose blocks the data fills."""
+    named = _CIPHER.search(headers)
+    block = len(named[1]) // 2 if named else 0
+    return block in (8, 16) and len(data) >= 32 and len(data) % block == 0
+
+
+def _bare(body: str) -> str:
+    """A key's body without line breaks, quotation marks and string concatenation."""
+    return _BETWEEN.sub("", _CONCATENATED.sub("", body))
+
+
+def _stated_size(data: bytes) -> int | None:
+    """The bytes of a key that begins so, by the lengths stated at its beginning.
+
+    None if it isn't the beginning of a key. What OpenSSH states lies further in, so its
+    size is known once all lengths but the last part are there.
+    """
+    if data.startswith(_OPENSSH):
+        at, keys = len(_OPENSSH), None
+        parts = 3  # cipher, key derivation, its options
+        while parts:
+            at += 4 + int.from_bytes(data[at : at + 4], "big")
+            parts -= 1
+            if at + 4 > len(data):
+                return None
+            if not parts and keys is None:
+                keys = parts = int.from_bytes(data[at : at + 4], "big")
+                if not 1 <= keys <= 16:
+                    return None
+                at += 4
+        return at + 4 + int.from_bytes(data[at : at + 4], "big")
+    if len(data) < 12 or data[0] != _SEQUENCE:
+        return None
+    at, size = 2, data[1]
+    if size >= 0x80:
+        width = size - 0x80
+        if not 1 <= width <= 4:
+            return None
+        at, size = 2 + width, int.from_bytes(data[2 : 2 + width], "big")
+    begins = data[at : at + 2] == b"\x02\x01" or data[at] == _SEQUENCE
+    return at + size if begins else None
+
+
+def _joined(text: str, start: int, end: int) -> tuple[bytes, int] | None:
+    """A key that begins with the run and goes on in lines of its width; its bytes and its end."""
+    width, lines = end - start, [(start, end)]
+    openssh = text.startswith(_OPENSSH_BASE64[:19], start)
+    size = None if openssh else _stated_size(_decoded(text[start : start + 16]) or b"")
+    if not openssh and (size is None or size > _WRAPPED_BYTES):
+        return None
+    most = -(-(size or _WRAPPED_BYTES) // 3) * 4
+    held = width
+    while held < most and (following := _NEXT_LINE.match(text, end)):
+        begin, end = following.span(1)
+        if end - begin > width:
+            break
+        lines.append((begin, end))
+        held += end - begin
+        if end - begin < width:
+            break
+    run = "".join(text[begin:end] for begin, end in lines)
+    if openssh:
+        size = _stated_size(_decoded(run[: len(run.rstrip("=")) // 4 * 4]) or b"")
+        if size is None:
+            return None
+    whole, rest = divmod(size, 3)
+    wanted = whole * 4 + (rest and rest + 1)
+    data = _decoded(run[:wanted])
+    if not data or len(data) != size:
+        return None
+    for begin, end in lines:
+        if wanted <= end - begin:
+            padded = begin + wanted
+            while padded < end and text[padded] == "=":
+                padded += 1
+            return data, padded
+        wanted -= end - begin
+    return None
+
+
 def _confirmed(text: str) -> Iterator[tuple[int, str, int]]:
+    armoured = []
     for match in _PEM.finditer(text):
-        data = _decoded("".join(match[2].split()))
-        if data and (match[1] or is_private_key(data) or is_openssh_key(data)):
+        data = _decoded(_bare(match[2]))
+        if data and (
+            is_encrypted_body(match[1], data) or is_private_key(data) or is_openssh_key(data)
+        ):
+            armoured.append(match.span())
             yield match.start(), "pem", match.end()
     for match in _HEX_RUN.finditer(text):
         if match[0].startswith("30") and is_private_key(bytes.fromhex(match[0])):
             yield match.start(), "der", match.end()
+        elif match[0].startswith("6") and is_openssh_key(bytes.fromhex(match[0])):
+            yield match.start(), "openssh", match.end()
+    inside, reached = iter([*armoured, (len(text), len(text))]), 0
+    begin, close = next(inside)
     for match in _BASE64_RUN.finditer(text):
-        if match[0][0] not in "Mb":  # the first letter of an encoded sequence, or of the mark
+        start, end = match.span()
+        if text[start] in "nr" and start and text[start - 1] == "\\":
+            start += 1  # the letter belongs to an escaped break
+        # The first letter of an encoded sequence, or of the mark; lines of a key found are done.
+        if start < reached or text[start] not in "Mb":
             continue
-        data = _decoded(match[0])
+        while close <= start and begin < len(text):
+            begin, close = next(inside)
+        data = _decoded(text[start:end])
         if data and is_private_key(data):
-            yield match.start(), "der", match.end()
-        elif data and is_openssh_key(data):
-            yield match.start(), "openssh", match.end()
+            yield start, "der", end
+            continue
+        alone = bool(data) and is_openssh_key(data)
+        wrapped = None if begin <= start < close else _joined(text, start, end)
+        if wrapped and is_private_key(wrapped[0]):
+            reached = wrapped[1]
+            yield start, "der", reached
+        elif wrapped and is_openssh_key(wrapped[0]):
+            reached = wrapped[1]
+            yield start, "openssh", reached
+        elif alone:
+            yield start, "openssh", end
     for match in _TOKEN.finditer(text):
         if is_signed_token(match[1], match[2]):
             yield match.start(), "token", match.end()
@@ -176,7 +290,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     The kinds ``assign``, ``access`` and ``hex`` are patterns. The others are
     reported only once confirmed: ``pem``, ``der`` and ``openssh`` decode to a
     private key whose nested lengths add up, ``token`` to a JSON header that
-    names an algorithm and JSON claims. Kinds may overlap; within one they don't.
+    names an algorithm and JSON claims. A ``pem`` with a cipher in its headers has no
+    readable structure; its body must fill the cipher's blocks. Lines may be broken by
+    escapes, quoted line by line or joined as strings, and base64 without armour may be
+    wrapped in lines of one width (at least 40, keys up to 64 KiB). Kinds may overlap;
+    within one they don't.
 
     A null or empty text has no findings, a null ``doc_id`` stays null, repeated
     rows are scanned each, other columns are not read. One pass, no shuffle; a

@@ -156,6 +156,62 @@ def test_tokens_and_openssh():
     assert "openssh" in kinds(key)
 
 
+OPENSSH = b"openssh-key-v1\0" + b"".join(
+    len(part).to_bytes(4, "big") + part for part in (b"aes256-ctr", b"bcrypt", b"s" * 24)
+) + (1).to_bytes(4, "big") + b"".join(
+    len(part).to_bytes(4, "big") + part for part in (b"p" * 51, b"k" * 130)
+)
+HEAD, TAIL = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+
+
+def wrapped(key, width=64):
+    text = base64.b64encode(key).decode()
+    return [text[at : at + width] for at in range(0, len(text), width)]
+
+
+@pytest.mark.parametrize("key", [RSA, PKCS8, OPENSSH])
+@pytest.mark.parametrize("between", ["\n", "\r\n", "\\n", "\\r\\n", "\n> ", '",\n  "', '" +\n "', " "])
+def test_armoured_keys_in_any_lines(key, between):
+    text = "é: " + between.join([HEAD, *wrapped(key), TAIL]) + " tail"
+    assert [span for span in secrets_in(text) if span[0] == "pem"] == [("pem", 3, len(text) - 5)]
+
+
+@pytest.mark.parametrize("kind, key", [("der", RSA), ("der", PKCS8), ("openssh", OPENSSH)])
+@pytest.mark.parametrize("between", ["\n", "\\n", "\n> "])
+@pytest.mark.parametrize("tail", ["", " and so on", "\n" + "A" * 64])
+def test_wrapped_keys_without_armour(kind, key, between, tail):
+    text = between.join(wrapped(key))
+    found = [span for span in secrets_in("x " + text + tail) if span[0] in ("der", "openssh")]
+    assert found == [(kind, 2, 2 + len(text))]
+    cut = between.join(wrapped(key[:-40]))
+    assert "der" not in kinds(cut)
+
+
+def test_hex_openssh_and_escaped_first_line():
+    assert "openssh" in kinds("k " + OPENSSH.hex()) and "openssh" in kinds(OPENSSH.hex().upper())
+    text = base64.b64encode(PKCS8).decode()
+    assert ("der", 4, 4 + len(text)) in secrets_in("k=\\n" + text)
+
+
+def test_headers_alone_confirm_nothing():
+    lines = "Comment: none\n", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC," + "0A" * 16 + "\n\n"
+    for headers in lines:
+        assert "pem" not in kinds(f"{HEAD}\n{headers}AAAABBBB\n{TAIL}")
+    body = base64.b64encode(bytes(range(48))).decode()
+    assert "pem" not in kinds(f"{HEAD}\n{lines[0]}{body}\n{TAIL}")
+    assert "pem" in kinds(f"{HEAD}\n{lines[1]}{body}\n{TAIL}")
+    assert "pem" not in kinds(f"{HEAD}\n{lines[1]}{body[:-4]}\n{TAIL}")
+
+
+def test_lines_that_look_like_keys_take_linear_time():
+    begin = time.process_time()
+    line = base64.b64encode(b"\x30\x82\xf0\x00\x02\x01\x00" + b"a" * 41).decode()
+    assert "der" not in kinds((line + "\n") * 3_000)
+    assert "pem" not in kinds(("a: " + HEAD + "\n") * 20_000)
+    assert "pem" not in kinds((HEAD + "\na: b\n") * 20_000)
+    assert time.process_time() - begin < 20
+
+
 def test_long_runs_behind_a_key_header_take_linear_time():
     header = "-----BEGIN PRIVATE KEY-----"
     begin = time.process_time()
