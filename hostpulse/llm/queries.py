@@ -15,7 +15,7 @@ from hostpulse.llm.secrets import BASE, scan_secrets
 from hostpulse.llm.simhash import simhash_groups
 from hostpulse.llm.tokens import checked_ids, token_files
 from hostpulse.llm.toxicity import fit_toxicity, score_toxicity
-from hostpulse.llm.urls import ALPHABET, ORDER, Rule, judge_urls
+from hostpulse.llm.urls import ORDER, Rule, judge_urls
 from hostpulse.llm.vectors import near_vectors
 from hostpulse.llm.warc import archive_pages
 
@@ -157,7 +157,7 @@ def _op3_sql() -> str:
         low = f"JOIN level{order - 1} AS low ON low.tail = c.shorter" if order else ""
         parts = []
         for kind in ("allow", "block"):
-            below = f"low.{kind}_p" if order else f"(1.0 / {len(ALPHABET)})::double"
+            below = f"low.{kind}_p" if order else "(1.0 / count(*) OVER w)::double"
             parts.append(f"""
               CASE WHEN sum({kind}) OVER w > 0 THEN
                 ({kind} + count(*) FILTER ({kind} > 0) OVER w * {below})
@@ -187,8 +187,7 @@ def _op3_sql() -> str:
         AND starts_with(path, rule_path)
       GROUP BY page_id, url, host, path
     ), padded AS (
-      SELECT *, repeat('^', {ORDER}) || regexp_replace(regexp_replace(lower(host || path),
-        '[0-9]', '0', 'g'), '[^a-z0.\-_/~%]', '*', 'g') || '$' AS text FROM ruled
+      SELECT *, repeat(chr(2), {ORDER}) || host || path || chr(3) AS text FROM ruled
     ), grams AS (
       SELECT page_id, verdict, part, substr(text, place, {ORDER + 1}) AS gram
       FROM (SELECT *, unnest(range(1, length(text) - {ORDER} + 1)) AS place FROM padded)
@@ -197,7 +196,7 @@ def _op3_sql() -> str:
         count(*) FILTER (part > 0 AND verdict = 'block') AS block
       FROM grams GROUP BY gram
     ), {", ".join(levels)}, scores AS (
-      SELECT page_id, avg(ln(allow_p / block_p)) AS score
+      SELECT page_id, round(avg(ln(allow_p / block_p)), 9) AS score
       FROM grams JOIN level{ORDER} ON tail = gram GROUP BY page_id
     ), bins AS (
       SELECT CAST(greatest(least(floor(score * 100), 2000), -2000) AS BIGINT) AS bin,

@@ -13,13 +13,11 @@ from pyspark.sql import functions as F
 
 from hostpulse.llm.store import written
 
-ORDER = 3  # characters of context
-# What the models tell apart: letters, any digit as 0, some marks, * for all else, and the
-# marks before (^) and behind ($) an address. There are len(ALPHABET) ** (ORDER + 1) grams at
-# most, 1.68 million, so the table of all grams has a bounded size.
-ALPHABET = string.ascii_lowercase + "0.-_/~%*^$"
-_OTHER = r"[^a-z0.\-_/~%]"
+ORDER = 5  # characters of context
+BEGIN, END = "\x02", "\x03"  # stand before and behind an address; those in one are like them
 _BINS = 100  # per unit of the score, which is cut off at -20 and 20
+# A gram and its ratio take about 100 bytes in a broadcast table: at most 60 MB are sent to all tasks.
+BROADCAST_GRAMS = 600_000
 
 
 @dataclass(frozen=True)
@@ -62,17 +60,14 @@ def _ruled(rules: list[Rule]) -> tuple[Column, Column]:
     return text, verdict
 
 
-def _grams(judged: DataFrame) -> DataFrame:
-    """A row per character of host and path and for the end, with the ORDER before it."""
-    folded = F.regexp_replace(F.lower(F.concat("host", "path")), "[0-9]", "0")
-    folded = F.regexp_replace(folded, _OTHER, "*")
-    padded = F.concat(F.lit("^" * ORDER), folded, F.lit("$"))
-    spread = judged.withColumn("padded", padded).select(
+def _grams(addresses: DataFrame) -> DataFrame:
+    """A row per character of ``address`` and for the end, with the ORDER characters before it."""
+    padded = F.concat(F.lit(BEGIN * ORDER), "address", F.lit(END))
+    spread = addresses.withColumn("padded", padded).select(
         "*", F.explode(F.sequence(F.lit(1), F.length("padded") - ORDER)).alias("place")
     )
-    return spread.withColumn("gram", F.substr("padded", F.col("place"), F.lit(ORDER + 1))).drop(
-        "padded"
-    )
+    gram = F.substr("padded", F.col("place"), F.lit(ORDER + 1))
+    return spread.withColumn("gram", gram).drop("padded", "place", "address")
 
 
 def _smoothed(counts: DataFrame) -> DataFrame:
@@ -81,9 +76,8 @@ def _smoothed(counts: DataFrame) -> DataFrame:
     Each class has a model of every order up to ORDER. Its chance of a character
     is the share seen after the context, mixed with the chance of the next lower
     order by the number of different characters seen there (Witten and Bell); below
-    order 0 all characters are equally likely. A context has at most
-    len(ALPHABET) characters, so no window or join below has a large group, and
-    the tables of the lower orders are bounded by the powers of that number.
+    order 0 all characters that occur are equally likely. A group is a context with the
+    different characters behind it, so no window or join below has a large one.
     """
     lower = None
     for order in range(ORDER + 1):
@@ -99,9 +93,8 @@ def _smoothed(counts: DataFrame) -> DataFrame:
                 f"{kind}_kinds", F.sum((F.col(kind) > 0).cast("long")).over(of)
             )
         if lower is None:
-            level = level.withColumn("allow_low", F.lit(1 / len(ALPHABET))).withColumn(
-                "block_low", F.lit(1 / len(ALPHABET))
-            )
+            even = F.lit(1.0) / F.count("*").over(of)  # the one context is the empty one
+            level = level.withColumn("allow_low", even).withColumn("block_low", even)
         else:
             level = level.withColumn("shorter", F.substr("tail", F.lit(2), F.lit(order))).join(
                 lower, "shorter"
@@ -112,13 +105,15 @@ def _smoothed(counts: DataFrame) -> DataFrame:
             level = level.withColumn(
                 f"{kind}_p", F.when(seen > 0, mixed).otherwise(F.col(f"{kind}_low"))
             )
-        lower = level.select(
-            F.col("tail").alias("shorter"),
-            F.col("allow_p").alias("allow_low"),
-            F.col("block_p").alias("block_low"),
+        lower = written(
+            level.select(
+                F.col("tail").alias("shorter"),
+                F.col("allow_p").alias("allow_low"),
+                F.col("block_p").alias("block_low"),
+            )
         )
-    return level.select("tail", F.ln(F.col("allow_p") / F.col("block_p")).alias("llr")).select(
-        F.col("tail").alias("gram"), "llr"
+    return lower.select(
+        F.col("shorter").alias("gram"), F.ln(F.col("allow_low") / F.col("block_low")).alias("llr")
     )
 
 
@@ -135,8 +130,8 @@ def _threshold(scores: DataFrame) -> DataFrame:
         scores.where("verdict IS NOT NULL")
         .groupBy(place.cast("long").alias("bin"))
         .agg(
-            F.sum(F.when(F.col("verdict") == "allow", F.col("copies")).otherwise(0)).alias("allow"),
-            F.sum(F.when(F.col("verdict") == "block", F.col("copies")).otherwise(0)).alias("block"),
+            F.count_if(F.col("verdict") == "allow").alias("allow"),
+            F.count_if(F.col("verdict") == "block").alias("block"),
         )
     )
     below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # 4001 bins at most
@@ -178,46 +173,51 @@ def judge_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     all scores are 0, so unruled urls are allowed. An empty table gives no rows;
     other columns are not read.
 
-    Every address becomes its grams once. Their counts combine on the map side,
-    however often a gram occurs; the table of all grams is bounded by its
-    alphabet, so it is the one thing sent to all tasks, and the grams of an
-    address, which stay together, are averaged before anything moves.
+    Equal addresses are counted first and become grams once, however many rows have them.
+    The models know every character and grow with the addresses. While they have at most
+    BROADCAST_GRAMS grams they go to all tasks, and an address is scored where its grams
+    are made; beyond that grams and models meet in a shuffle, which carries a digest of
+    the address. Both give the same rows.
     """
     host, path = address(F.col("url"))
     rule, verdict = _ruled(rules)
-    judged = (
+    part = F.conv(F.substr(F.md5(F.coalesce("url", F.lit(""))), F.lit(1), F.lit(6)), 16, 10)
+    judged = written(
         pages.select("page_id", "url")
         .select("page_id", "url", host.alias("host"), path.alias("path"))
-        .select("*", rule.alias("rule"), verdict.alias("verdict"))
-        .withColumn("part", F.conv(F.substr(F.md5(F.coalesce("url", F.lit(""))), F.lit(1), F.lit(6)), 16, 10).cast("bigint") % 5)
+        .select(
+            "page_id",
+            "host",
+            "path",
+            rule.alias("rule"),
+            verdict.alias("verdict"),
+            (part.cast("bigint") % 5).alias("part"),
+            F.unhex(F.md5(F.concat("host", "path"))).alias("key"),
+        )
     )
-    grams = _grams(judged.select("page_id", "url", "host", "path", "rule", "verdict", "part"))
-    learnt = F.col("part") > 0
 
-    def times(kind: str) -> Column:
-        wanted = learnt & F.coalesce(F.col("verdict") == kind, F.lit(False))
-        return F.sum(wanted.cast("long")).alias(kind)
+    def learnt(kind: str) -> Column:
+        return F.count_if((F.col("part") > 0) & (F.col("verdict") == kind)).alias(kind)
 
-    counts = written(grams.groupBy("gram").agg(times("allow"), times("block")))
-    model = written(_smoothed(counts))
-    each = ["page_id", "url", "host", "path", "rule", "verdict", "part"]
-    scores = written(
-        grams.join(F.broadcast(model), "gram")
-        .groupBy(*each)
-        .agg(
-            F.avg("llr").alias("score"),
-            F.sum((F.col("place") == 1).cast("long")).alias("copies"),
+    addresses = written(
+        judged.groupBy("key", F.concat("host", "path").alias("address")).agg(
+            learnt("allow"), learnt("block")
         )
     )
-    cut = _threshold(scores.where("part = 0")).first()[0]
-    return scores.select(
-        "page_id",
-        "host",
-        "path",
-        "rule",
-        F.coalesce(
-            "verdict", F.when(F.col("score") >= cut, "allow").otherwise("block")
-        ).alias("verdict"),
-        "score",
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+    grams = _grams(addresses)
+    counts = written(
+        grams.groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
+    )
+    model = _smoothed(counts)
+    if counts.count() <= BROADCAST_GRAMS:
+        model = F.broadcast(model)
+    scores = written(
+        grams.select("key", "gram").join(model, "gram").groupBy("key").agg(F.avg("llr").alias("score"))
+    )
+    # Rounded, because the last bits of a mean depend on the order of addition.
+    scored = written(judged.join(scores, "key").withColumn("score", F.round("score", 9)))
+    cut = _threshold(scored.where("part = 0")).first()[0]
+    judgement = F.when(F.col("score") >= cut, "allow").otherwise("block")
+    return scored.select(
+        "page_id", "host", "path", "rule", F.coalesce("verdict", judgement).alias("verdict"), "score"
+    )

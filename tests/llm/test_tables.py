@@ -17,6 +17,7 @@ from hostpulse.llm.copies import copy_groups
 from hostpulse.llm.quality import fold_of, isotonic, score_quality, statistics_of
 from hostpulse.llm.queries import ORACLES, QUERIES, URL_RULES
 from hostpulse.llm.toxicity import fit_toxicity, score_toxicity, without_toxic
+from hostpulse.llm import urls
 from hostpulse.llm.urls import judge_urls
 from hostpulse.llm.vectors import local_roots, near_vectors
 from hostpulse.llm.warc import archive_pages, normalize_archives, read_archives
@@ -170,6 +171,26 @@ def test_models_tell_addresses_apart(spark):
     assert verdicts == {2000: "allow", 2001: "block"}
 
 
+def test_models_know_every_character(spark):
+    """Digits, letters outside ASCII and cases count, and contexts of five characters."""
+    good = [(n, f"x://a{n}.com/item/77/żółw/Abcdefgh", "") for n in range(60)]
+    bad = [(100 + n, f"x://a{n}.net/es/item/33/łódź/abcdefgH", "") for n in range(60)]
+    new = ["/77/", "/33/", "/żółw/", "/łódź/", "/Abc", "/efgH"]
+    new = [(200 + n, f"x://o.org{path}", "") for n, path in enumerate(new)]
+    found = judge_urls(spark.createDataFrame(good + bad + new, PAGES), URL_RULES)
+    verdicts = {row.page_id: row.verdict for row in found.where("rule IS NULL").collect()}
+    assert verdicts == {200: "allow", 201: "block", 202: "allow", 203: "block", 204: "allow", 205: "block"}
+
+
+def test_shuffled_models_give_the_same_verdicts(spark, monkeypatch):
+    pages = table(spark, "pages")
+    one = judge_urls(pages, URL_RULES).toPandas().sort_values("page_id").reset_index(drop=True)
+    monkeypatch.setattr(urls, "BROADCAST_GRAMS", 0)
+    clashing = pages.selectExpr("*", "1 AS key", "2 AS score", "3 AS gram", "4 AS part")
+    two = judge_urls(clashing, URL_RULES).toPandas().sort_values("page_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(one, two)
+
+
 # Vectors
 
 
