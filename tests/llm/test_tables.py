@@ -486,3 +486,66 @@ def test_copy_groups_against_brute_force(spark):
     assert len(found) == len(expected)
     wrong = [row for row in found if expected[row.doc_id] != row.component_id]
     assert len(wrong) <= 0.01 * len(found)  # a pair at 0.8 is missed once in 2,500 times
+
+
+LONG = " ".join(f"w{n % 7919}x{n % 13}" for n in range(200_000))
+PLAIN = "the river ran slowly past the old mill and the garden behind it"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null ids, texts and other columns, repeats, an empty and two long texts, clashing names."""
+    rows = [(None, None), (None, PLAIN + " again"), (1, None), (2, ""), (3, PLAIN), (3, PLAIN), (4, LONG), (5, LONG + " end")]
+    rows = [(key if key is None else 10**9 + key, text, None, None, None) for key, text in rows]
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    names = ["severity", "toxic", "component_id", "key", "line", "block", "n_tokens", "item_id", "hash"]
+    docs = spark.createDataFrame(rows, kinds).selectExpr("*", *[f"'{name}' AS {name}" for name in names])
+    return docs
+
+
+def stage_of(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def ids(frame):
+    found = [row.doc_id for row in frame.select("doc_id").collect()]
+    return sorted(-1 if key is None else key - 10**9 for key in found)
+
+
+def test_odd_rows_pass_the_toxic_stage(spark, odd):
+    usual = table(spark, "documents")
+    docs = odd.unionByName(usual, allowMissingColumns=True)
+    kept = stage_of("toxicity")(spark, docs, SF_DIR)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert ids(kept.where("doc_id IS NULL OR doc_id > 1000000000")) == [-1, -1, 1, 2, 3, 3, 4, 5]
+
+
+def test_odd_rows_pass_the_line_stage(spark, odd):
+    kept = stage_of("line_dedup")(spark, odd, SF_DIR)
+    assert kept.columns == corpus_pipeline.COLUMNS and ids(kept) == [-1, -1, 1, 2, 3, 3, 4, 5]
+    texts = {row.doc_id - 10**9: row for row in kept.where("doc_id IS NOT NULL").collect()}
+    assert (texts[1].text or "") == texts[2].text == "" and texts[3].text == PLAIN
+    assert texts[4].text == LONG and texts[5].n_chars == len(LONG) + 4
+
+
+def test_odd_rows_in_the_near_copy_stage(spark, odd):
+    kept = stage_of("simhash_dedup")(spark, odd, SF_DIR)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    found = ids(kept)
+    assert found.count(-1) == 2 and found.count(3) == 2 and 4 in found and 5 not in found
+
+
+def test_odd_rows_in_the_benchmark_stage(spark, odd):
+    item = table(spark, "benchmark").orderBy(F.length("text").desc()).first().text
+    passage = LONG[:100_000] + " " + item + " " + LONG[100_000:]
+    leak = spark.createDataFrame([(10**9 + 6, passage), (10**9 + 6, passage), (None, item)], DOCS)
+    kept = stage_of("decontamination")(spark, odd.unionByName(leak, allowMissingColumns=True), SF_DIR)
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert ids(kept) == [-1, -1, 1, 2, 3, 3, 4, 5]  # rows are judged themselves, also without an id
+
+
+def test_odd_rows_in_the_piece_stage(spark, odd):
+    found = stage_of("pieces")(spark, odd, SF_DIR)
+    assert ids(found) == [-1, -1, 1, 2, 3, 3, 4, 5]
+    sizes = {row.doc_id - 10**9: row.n_tokens for row in found.where("doc_id IS NOT NULL").collect()}
+    assert sizes[1] == sizes[2] == 2 and sizes[5] > sizes[4] > 200_000
