@@ -488,6 +488,48 @@ def test_copy_groups_against_brute_force(spark):
     assert len(wrong) <= 0.01 * len(found)  # a pair at 0.8 is missed once in 2,500 times
 
 
+@pytest.mark.parametrize("rows, common, own", [(10**4, 4, (0, 1)), (10**4, 16, (2, 2)), (10**6, 90, (11, 11)), (10**7, 180, (0, 45))])
+def test_near_copies_meet_at_simhash_segments(rows, common, own):
+    from hostpulse.llm.copies import Layout, print_of
+
+    layout, rng, met, close = Layout(rows), np.random.default_rng(5), 0, 0
+
+    def around(segments):
+        flips = [(value >> 32 & 31, value >> 37 & 31, value & 0xFFFFFFFF) for value in segments]
+        return {
+            (place, value ^ (one << a) ^ (two << b))
+            for place, (a, b, value) in enumerate(flips)
+            for one in (0, 1)
+            for two in (0, 1)
+        }
+
+    for _ in range(200):
+        shared = rng.integers(1 << 63, size=common, dtype=np.uint64)
+        sets = [np.r_[shared, rng.integers(1 << 63, size=size, dtype=np.uint64)] for size in own]
+        (one, at), (two, to) = (print_of(hashes, layout) for hashes in sets)
+        differ = sum(((a ^ b) & 0xFFFFFFFFFFFFFFFF).bit_count() for a, b in zip(one, two))
+        met += bool(around(at) & around(to))
+        close += common < 32 or differ <= layout.limit
+    assert met >= 198 and close >= 198
+
+
+def test_merely_similar_texts_are_not_compared_whole(spark, monkeypatch):
+    from hostpulse.llm import copies
+
+    rng, confirmed, pairs = np.random.default_rng(9), copies._confirmed, []
+    monkeypatch.setattr(
+        copies, "_confirmed", lambda found, *rest: pairs.append(found.count()) or confirmed(found, *rest)
+    )
+    words, rows = [f"w{n}" for n in range(300)], []
+    for doc in range(200):  # each pair shares three fifths of its shingles
+        edited = list(words)
+        for place in rng.choice(300, size=16, replace=False):
+            edited[place] = f"x{doc}y{place}"
+        rows.append((doc, " ".join(edited)))
+    groups = copy_groups(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(groups) == 200 and sum(pairs) < 500
+
+
 LONG = " ".join(f"w{n % 7919}x{n % 13}" for n in range(200_000))
 PLAIN = "the river ran slowly past the old mill and the garden behind it"
 
