@@ -124,8 +124,9 @@ def quantile_table(
 ) -> DataFrame:
     """``measure``, ``share`` and ``value``: the exact quantiles of several columns of a stored table."""
     rows = [
-        (column, share, value)
+        F.struct(F.lit(column), F.lit(share), F.lit(value))
         for column in columns
         for share, value in zip(shares, exact_quantiles(table, column, shares))
     ]
-    return table.sparkSession.createDataFrame(rows, "measure string, share double, value double")
+    kind = "array<struct<measure: string, share: double, value: double>>"
+    return table.sparkSession.range(1).select(F.inline(F.array(*rows).cast(kind)))

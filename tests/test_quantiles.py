@@ -70,6 +70,16 @@ def test_empty_types_and_shares(spark):
     ]
 
 
+def test_table_of_quantiles_needs_no_driver_rows(spark):
+    none = spark.createDataFrame([(None, 2.5)], "x bigint, y double")
+    found = quantile_table(none, ["x", "y"], [0, 0.5])
+    assert "ExistingRDD" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.dtypes == [("measure", "string"), ("share", "double"), ("value", "double")]
+    rows = [tuple(row) for row in found.collect()]
+    assert rows == [("x", 0.0, None), ("x", 0.5, None), ("y", 0.0, 2.5), ("y", 0.5, 2.5)]
+    assert quantile_table(none, [], [0.5]).dtypes == found.dtypes
+
+
 def test_filter_reaches_the_files(spark, tmp_path, monkeypatch):
     """Later rounds read only what lies in the ranges left."""
     spark.range(0, 1_000_000, numPartitions=4).select(F.col("id").alias("x")).write.parquet(f"{tmp_path}/t")
