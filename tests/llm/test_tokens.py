@@ -180,3 +180,17 @@ def test_files_ascend_and_rank_by_frequency(spark, words, tmp_path):
     assert len(by_part) == len({row.file for row in blocks}) > 1
     ids = sum(by_part.values())  # 1.25 bytes each here, besides 16 a document and headers
     assert size <= 1.25 * ids + 17 * 4000 + len(by_part) * (64 + 4 * len(ranked))
+
+
+def test_latin_words_take_the_short_way_with_the_library_ids(monkeypatch):
+    import public_tokenizers
+
+    encoder, asked = TextEncoder(public_tokenizers.path("word_bpe_49k.json")), []
+    whole = encoder._library_ids
+    monkeypatch.setattr(encoder, "_library_ids", lambda text: asked.append(text) or whole(text))
+    latin = ["ciónóDOAR", "CHÄLICH", "straße", "ÿþýæ", "Ünïcödé", "ÀÖØÞ", "beanthtionen", "QxZ" * 30, "s", "don"]
+    other = ["aªºb", "2×3÷1", "ſtraſſe", "ﬁsh", "éte", "İI", "ΣΑΣ", "don't", "ab12cd", "<|endoftext|>", "слово", "a­b"]
+    texts = [*latin, *other, " ".join(latin), " ".join(latin + other)]
+    assert list(encoder.encode(texts)) == [whole(text) for text in texts]
+    given = " ".join(asked).split()
+    assert asked and not set(latin) & set(given)
